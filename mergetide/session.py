@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +47,20 @@ def cut(df: DataFrame) -> DataFrame:
     """df, written to the shared checkpoint folder: later plans start from those files, and lost executors cost nothing but a read."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once for each application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    at = Path(tempfile.mkdtemp(prefix="mergetide-py-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(at))
