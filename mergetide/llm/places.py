@@ -33,7 +33,7 @@ COUNTRIES = {"us": "usa unitedstates unitedstatesofamerica america", "ca": "can
 BEFORE = ["city of", "town of", "village of", "greater"]
 AFTER = ["main office", "metro area", "metro", "area", "downtown", "campus", "city"]
 FIRST = {"north": "n no nth", "south": "s so sth", "east": "e", "west": "w", "saint": "st snt", "fort": "ft frt", "mount": "mt mnt mtn", "port": "pt prt", "lake": "lk"}
-LAST = {"heights": "hts hgts ht", "falls": "fls", "grove": "grv grve gr", "beach": "bch", "springs": "spgs spg sprgs", "junction": "jct jctn junc"}
+LAST = {"heights": "hts hgts", "falls": "fls", "grove": "grv grve", "beach": "bch", "springs": "spgs spg sprgs", "junction": "jct jctn junc"}
 ACCENTS = ("àáâãäåāăçćčďèéêëēęěìíîïīłñńňòóôõöøōřśšťùúûüūůýÿžźż015", "aaaaaaaacccdeeeeeeeiiiiilnnnooooooorsstuuuuuuyyzzzols")
 
 
@@ -63,7 +63,7 @@ def name_sql(duck: bool, column: str) -> tuple[str, str]:
     for full, short in FIRST.items():
         t = r(t, f"^(?:{short.replace(' ', '|')}) ", full + " ")
     for full, short in LAST.items():
-        t = r(t, f" (?:{short.replace(' ', '|')})$", " " + full)
+        t = r(t, f" ?(?:{short.replace(' ', '|')})$", " " + full)
     return f"replace({t}, ' ', '')", state
 
 
@@ -73,7 +73,7 @@ def _lookup(duck: bool, text: str, table: dict[str, str]) -> str:
     words, codes = ", ".join(f"'{w}'" for k, v in table.items() for w in [k, *v.split()]), ", ".join(f"'{k}'" for k, v in table.items() for _ in [k, *v.split()])
     if duck:
         return f"list_extract([{codes}], list_position([{words}], {plain}))"
-    return f"element_at(array({codes}), cast(nullif(array_position(array({words}), {plain}), 0) as int))"
+    return f"try_element_at(map_from_arrays(array({words}), array({codes})), {plain})"
 
 
 def _typed_sql(duck: bool, table: str) -> str:
