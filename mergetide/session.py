@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -43,10 +45,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the shared checkpoint folder: later plans start from those files, and lost executors cost nothing but a read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_TABLES: dict[str, SparkSession] = {}
+
+
+def cut(df: DataFrame, *stale: DataFrame) -> DataFrame:
+    """df, written as a table to the shared checkpoint folder: later plans start from those files, and lost executors cost nothing but a read.
+
+    Written once and compressed, where a checkpoint computes its last stage twice and compresses nothing. ``stale``: earlier results of this function
+    that nothing needs any more; their files are removed. What is left goes when the driver ends.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    at = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(at)
+    _TABLES[at] = spark
+    for x in stale:
+        drop(x)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._table = at
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Removes the files of a result of ``cut``."""
+    at = getattr(df, "_table", None)
+    spark = _TABLES.pop(at, None)
+    if spark is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def _clean() -> None:
+    for at, spark in list(_TABLES.items()):
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001 the session has ended, and its folder with it
+            return
 
 
 _SHIPPED: set[str] = set()
