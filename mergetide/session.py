@@ -63,6 +63,8 @@ def cut(df: DataFrame, *stale: DataFrame) -> DataFrame:
         drop(x)
     out = spark.read.schema(df.schema).parquet(at)
     out._table = at
+    # Shuffle files of finished steps go when the driver collects its garbage; left to itself it may keep them all until the end.
+    spark._jvm.System.gc()
     return out
 
 
