@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mergetide.llm.people import evidence, feed_people, identity_people, vocabulary
+from mergetide.llm.people import NAME_ONLY, evidence, feed_people, identity_people, near_keys, shared_keys, vocabulary
 from mergetide.llm.survivorship import correlated
 from mergetide.session import cut
 from mergetide.sources import read_table
@@ -40,17 +40,31 @@ def score(e: dict[str, Column], borne: Column) -> Column:
 
 
 def candidates(records: DataFrame, known: DataFrame) -> DataFrame:
-    """(key, alias, weight, borne): edges between records and what is known (``known``: alias, identity_id, keys), pruned by weight."""
-    kn = known.select("alias", "identity_id", F.explode("keys").alias("k"))
-    df = kn.groupBy("k").agg(F.countDistinct("identity_id").alias("df"))
+    """(reading, alias, identity_id, borne): edges between readings of records and of known persons, pruned by weight.
+
+    Both have ``reading`` and the fields of read_people; what says the same is looked up once. By a name that more than RARE known persons bear
+    records meet only together with a date or mailbox; those names' bearers get keys of near dates too.
+    """
+    def keyed(df: DataFrame, keys: Column, *ids: str) -> DataFrame:
+        return df.select(*ids, F.explode(keys).alias("x")).select(*ids, "x.*").distinct()
+
+    kn, mine = keyed(known, shared_keys(), "alias", "identity_id"), keyed(records, shared_keys(), "reading")
     n = F.lit(float(max(known.select("identity_id").distinct().count(), 1)))
-    kind = F.substring("k", 1, 1)
-    df = df.where(~kind.isin("N", "I") | (F.col("df") <= RARE)).withColumn("w", F.log1p(n / F.col("df")))
-    mine = records.select("key", F.explode("keys").alias("k"))
-    met = mine.join(df, "k").join(kn, "k")
-    edges = met.groupBy("key", "alias", "identity_id").agg(F.sum("w").alias("weight"), F.min(F.when(kind.isin("N", "I"), F.col("df"))).alias("borne"))
-    best = edges.groupBy("key").agg(F.max("weight").alias("best"))
-    return edges.join(best, "key").where(F.col("weight") >= PRUNE * F.col("best")).select("key", "alias", "identity_id", "weight", F.coalesce("borne", F.lit(RARE + 1)).alias("borne"))
+    df = cut(kn.groupBy("t", "k").agg(F.countDistinct("identity_id").alias("df")))
+    hot = F.broadcast(df.where((F.col("t") == "I") & (F.col("df") > RARE)).select("k")) if df.where((F.col("t") == "I") & (F.col("df") > RARE)).count() < 100_000 else df.where((F.col("t") == "I") & (F.col("df") > RARE)).select("k")
+
+    def near(data: DataFrame, *ids: str) -> DataFrame:
+        initials = F.expr("flatten(transform(codes, x -> transform(initials, i -> xxhash64('I', x, i))))")
+        few = data.where("size(near) > 0").select(*ids, "codes", "initials", "near", F.explode(initials).alias("k")).join(hot, "k", "left_semi")
+        return keyed(few, near_keys(), *ids)
+
+    kn_hot, my_hot = near(known, "alias", "identity_id"), near(records, "reading")
+    use = df.where(~F.col("t").isin(NAME_ONLY) | (F.col("df") <= RARE)).unionByName(kn_hot.groupBy("t", "k").agg(F.countDistinct("identity_id").alias("df")))
+    weighed = kn.unionByName(kn_hot).join(use, ["t", "k"])
+    met = mine.unionByName(my_hot).join(weighed, ["t", "k"])
+    edges = met.groupBy("reading", "alias", "identity_id").agg(F.sum(F.log1p(n / F.col("df"))).alias("weight"), F.min(F.when(F.col("t").isin("N", "I"), F.col("df"))).cast("int").alias("borne"))
+    best = F.max("weight").over(Window.partitionBy("reading"))
+    return edges.withColumn("best", best).where(F.col("weight") >= PRUNE * F.col("best")).select("reading", "alias", "identity_id", F.coalesce("borne", F.lit(RARE + 1)).alias("borne"))
 
 
 def best_of(scored: DataFrame) -> DataFrame:
@@ -61,42 +75,48 @@ def best_of(scored: DataFrame) -> DataFrame:
     return top.where((F.col("t.score") >= ACCEPT) & (F.col("t.score") - behind >= MARGIN)).select("key", "t.identity_id", "t.score")
 
 
+VALUES = ["last", "forms", "codes", "first", "given", "initials", "short", "dates", "near", "box", "num"]
+
+
 def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
     """(key, identity_id, confidence): the known person that each record is of, if one can be told.
 
-    ``records``: key, the fields of read_people, and ``ties``, columns that only records of one person (or one household) share; ``known``: alias,
-    identity_id, the fields of read_people, and ties (null where there is none). Records with a null key are left out; records that say nothing
-    get no link; repeated keys count as one record; empty tables give no links. confidence: 0 to 1, rising with the score.
+    ``records``: key, reading (a number for all that a record says), the fields of read_people, and ``ties``, columns that only records of one person
+    share; ``known``: alias, identity_id, reading, the fields of read_people, and ties (null where there is none). Records with a null key are left
+    out; records that say nothing get no link; a repeated key is one record; empty tables give no links. confidence: 0 to 1, rising with the score.
     """
-    records = records.where("key is not null").dropDuplicates(["key"])
-    edges = candidates(records, known)
-    values = ["last", "forms", "codes", "first", "given", "initials", "short", "dates", "near", "box", "num"]
-    a = records.select("key", F.struct(*values).alias("a"))
-    b = known.select("alias", F.struct(*values).alias("b"))
-    scored = edges.join(a, "key").join(b, "alias").withColumn("score", score(evidence(), F.col("borne"))).select("key", "identity_id", "score").where("score > 0")
-    per = cut(scored.groupBy("key", "identity_id").agg(F.max("score").alias("score")))
-    sure = cut(best_of(per).select("key", "identity_id", "score"))
-    # Neighbours: records, and accounts already correlated, that share a tie and don't contradict each other in name and birth.
-    told = known.where(reduce(lambda x, y: x | y, [F.col(t).isNotNull() for t in ties])).select(F.col("alias").alias("key"), "identity_id", *ties, *values)
-    fixed = told.select("key", "identity_id", F.lit(20.0).alias("score"))
-    all_ = records.select("key", *ties, *values).unionByName(told.drop("identity_id"))
-    tied = all_.select("key", F.explode(F.array(*[F.concat(F.lit(f"{t}|"), F.col(t)) for t in ties])).alias("tie")).where("tie is not null")
+    records = records.where("key is not null")
+    known = known.withColumn("alias", F.xxhash64("identity_id", "reading"))
+    edges = cut(candidates(records, known))
+    said = lambda df, key, at: df.select(key, F.struct(*VALUES).alias(at)).groupBy(key).agg(F.first(at).alias(at))
+    a = said(records.join(edges.select("reading").distinct(), "reading", "left_semi"), "reading", "a")
+    b = said(known.join(edges.select("alias").distinct(), "alias", "left_semi"), "alias", "b")
+    scored = edges.join(a, "reading").join(b, "alias").withColumn("score", score(evidence(), F.col("borne"))).select(F.col("reading").alias("key"), "identity_id", "score").where("score > 0")
+    found = best_of(scored).select(F.col("key").alias("reading"), "identity_id", "score")
+    sure = cut(records.select("key", "reading").join(found, "reading").groupBy("key").agg(F.max(F.struct("score", "identity_id")).alias("t")).select("key", "t.identity_id", "t.score"))
+    # Neighbours: records, and accounts already correlated, that share a tie. A tie says an identity if all its members that have one have the same.
+    # Aggregated by tie, so that a tie that many share makes no pairs.
+    tied = lambda df, *ids: df.select(*ids, F.explode(F.filter(F.array(*[F.when(F.col(t).isNotNull(), F.xxhash64(F.lit(t), t)) for t in ties]), lambda x: x.isNotNull())).alias("tie"))
+    mine = cut(tied(records, "key").distinct())
+    fixed = cut(tied(known, "identity_id").groupBy("tie").agg(F.min("identity_id").alias("lo"), F.max("identity_id").alias("hi")))
+    got, before = sure.select("key", "identity_id"), 0
     for _ in range(ROUNDS):
-        # What a tie's sure members say: one identity, or the tie says nothing. Aggregated by tie, so that a tie that many share makes no pairs.
-        says = tied.join(sure.unionByName(fixed), "key").groupBy("tie").agg(F.min("identity_id").alias("identity_id"), F.max("identity_id").alias("other"), F.max("score").alias("s")).where("identity_id = other")
-        open_ = tied.join(sure.select("key"), "key", "left_anti").join(told.select("key"), "key", "left_anti")
-        heard = open_.join(says, "tie").groupBy("key", "identity_id").agg(F.count("*").alias("n"))
-        known_as = known.select("identity_id", F.col("alias"), F.struct(*values).alias("b"))
-        e = evidence()
-        fits = heard.join(a, "key").join(known_as, "identity_id").select("key", "identity_id", "n", e["surname"].alias("surname"), e["given"].alias("given"), e["born"].alias("born"), e["number"].alias("number"))
-        fits = fits.groupBy("key", "identity_id").agg(F.max("n").alias("n"), F.max("surname").alias("surname"), F.max("given").alias("given"), F.max("born").alias("born"), F.max("number").alias("number"))
-        fits = fits.where("coalesce(given, 1) > 0 and (surname > 0 or coalesce(born, 0) > 0) and coalesce(number, 1) > 0 and coalesce(born, 1) > 0")
-        new = fits.groupBy("key").agg(F.max(F.struct("n", "identity_id")).alias("t"), F.count("*").alias("m")).where("m = 1").select("key", "t.identity_id", F.lit(ACCEPT + 2.0).alias("score"))
-        new = cut(new)
-        if not new.limit(1).count():
+        told = mine.join(got, "key").groupBy("tie").agg(F.min("identity_id").alias("lo"), F.max("identity_id").alias("hi")).unionByName(fixed)
+        told = told.groupBy("tie").agg(F.min("lo").alias("identity_id"), F.max("hi").alias("hi")).where("identity_id = hi").select("tie", "identity_id")
+        heard = mine.join(got, "key", "left_anti").join(told, "tie").groupBy("key").agg(F.min("identity_id").alias("identity_id"), F.max("identity_id").alias("hi")).where("identity_id = hi").drop("hi")
+        got = cut(got.unionByName(heard), *([got] if before else []))
+        now = got.count()
+        if now == before:
             break
-        sure = cut(sure.unionByName(new))
-    return sure.select("key", "identity_id", (1 / (1 + F.exp(-(F.col("score") - ACCEPT + 2) / 2))).alias("confidence"))
+        before = now
+    # What neighbours handed on must not contradict the identity's name, birth and number.
+    new = cut(got.join(sure.select("key"), "key", "left_anti"))
+    of = said(records.join(new, "key", "left_semi"), "key", "a")
+    about = known.join(new.select("identity_id").distinct(), "identity_id", "left_semi").select("identity_id", F.struct(*VALUES).alias("b"))
+    e = evidence()
+    fits = new.join(of, "key").join(about, "identity_id").groupBy("key", "identity_id").agg(*[F.max(e[n]).alias(n) for n in ("surname", "given", "born", "number")])
+    fits = fits.where("coalesce(given, 1) > 0 and (surname > 0 or coalesce(born, 0) > 0) and coalesce(number, 1) > 0 and coalesce(born, 1) > 0").select("key", "identity_id", F.lit(ACCEPT + 2.0).alias("score"))
+    return sure.unionByName(fits).select("key", "identity_id", (1 / (1 + F.exp(-(F.col("score") - ACCEPT + 2) / 2))).alias("confidence"))
 
 
 def _digits(c: str, n: int) -> Column:
@@ -108,18 +128,22 @@ def link_feed(feed: DataFrame, identities: DataFrame, managed: DataFrame) -> Dat
     """(record_id, identity_id, confidence) of the uncorrelated rows of identity_feed."""
     use = feed.select("record_id", "source_id", "id", "firstName", "lastName", "fullName", "email", "birthDate", "phone", "ssn")
     known_names = vocabulary(feed.select("firstName"), feed.select("lastName"))
-    people = feed_people(correlated(use, managed), known_names).withColumn("account", F.concat_ws("|", "source_id", "id")).withColumn("phone", _digits("phone", 10)).withColumn("ssn", _digits("ssn", 9))
-    # A mailbox of the person's name without a number may be anyone's of that name.
-    people = people.withColumn("mail", F.when(F.coalesce(F.col("num") != "", F.lit(True)), F.col("box")))
+    people = feed_people(correlated(use, managed), known_names).withColumn("reading", _reading())
+    household = F.concat(_digits("phone", 10), F.lit("|"), F.get("initials", F.lit(0)))
+    # A mailbox of the person's name without a number may be anyone's of that name, and a phone anyone's of a household.
+    people = people.select("record_id", "identity_id", "reading", *VALUES, F.xxhash64("source_id", "id").alias("account"), household.alias("phone"), _digits("ssn", 9).alias("ssn"), F.when(F.coalesce(F.col("num") != "", F.lit(True)), F.col("box")).alias("mail"))
     people = cut(people)
-    records = people.where("identity_id is null").withColumnRenamed("record_id", "key")
     ties = ["account", "mail", "phone", "ssn"]
-    who = cut(identity_people(identities, known_names))
-    known = people.where("identity_id is not null").withColumnRenamed("record_id", "alias")
-    known = known.join(who.select(F.col("id").alias("identity_id")), "identity_id", "left_semi")
-    same = [c for c in who.columns if c != "id"]
-    known = known.select("alias", "identity_id", *same, *ties).unionByName(who.select(F.col("id").alias("alias"), F.col("id").alias("identity_id"), *same), allowMissingColumns=True)
-    return link(records, cut(known), ties).withColumnRenamed("key", "record_id")
+    who = cut(identity_people(identities, known_names).withColumn("reading", _reading()).withColumn("mail", F.when(F.coalesce(F.col("num") != "", F.lit(True)), F.col("box"))))
+    known = people.where("identity_id is not null").join(who.select(F.col("id").alias("identity_id")), "identity_id", "left_semi").drop("record_id")
+    known = known.unionByName(who.withColumnRenamed("id", "identity_id"), allowMissingColumns=True)
+    return link(people.where("identity_id is null").withColumnRenamed("record_id", "key"), known, ties).withColumnRenamed("key", "record_id")
+
+
+def _reading() -> Column:
+    """A number for all that a person's values say."""
+    flat = lambda c: F.concat_ws(" ", c)
+    return F.xxhash64("last", "first", flat("forms"), flat("given"), flat("initials"), flat("dates"), F.coalesce("box", F.lit("-")), F.coalesce("num", F.lit("-")))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:

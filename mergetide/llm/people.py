@@ -38,11 +38,32 @@ _LOOKALIKE = str.maketrans("0135", "oles")
 _ODD = str.maketrans({"ł": "l", "ø": "o", "đ": "d", "ß": "ss", "æ": "a", "œ": "o", "ı": "i"})
 
 
+_AA, _BESIDE = re.compile("aa|ae"), re.compile(r"(?<=[a-z])[0135]+|[0135]+(?=[a-z])")
+
+
+@lru_cache(1 << 16)
 def fold(text: str) -> str:
     """Lower case without accents; digits within words as the letters they look like; "oe", "ue" and "aa" as their vowels."""
-    t = "".join(c for c in unicodedata.normalize("NFKD", text.lower().translate(_ODD)) if not unicodedata.combining(c))
-    t = re.sub(r"(?<=[a-z])[0135]+|[0135]+(?=[a-z])", lambda m: m[0].translate(_LOOKALIKE), t)
-    return re.sub(r"aa|ae", "a", re.sub(r"oe", "o", re.sub(r"ue", "u", t)))
+    t = text.lower()
+    if not t.isascii():
+        t = "".join(c for c in unicodedata.normalize("NFKD", t.translate(_ODD)) if not unicodedata.combining(c))
+    if not t.isalpha():
+        t = _BESIDE.sub(lambda m: m[0].translate(_LOOKALIKE), t)
+    return _AA.sub("a", t).replace("oe", "o").replace("ue", "u")
+
+
+_ALIKE, _SILENT, _TWICE = str.maketrans("cqwzydjb", "kkvsitip"), str.maketrans("", "", "aeiouh"), re.compile(r"(.)\1+")
+
+
+@lru_cache(1 << 16)
+def code(word: str) -> str:
+    """A phonetic code: like consonants alike, doubles once, vowels only in front."""
+    w = word
+    for a, b in (("ph", "f"), ("gh", "g"), ("ck", "k"), ("th", "t"), ("sch", "s"), ("sh", "s"), ("kn", "n"), ("wr", "r"), ("x", "ks"), ("qu", "k")):
+        w = w.replace(a, b)
+    w = w.translate(_ALIKE)
+    w = w[:1] + w[1:].translate(_SILENT)
+    return _TWICE.sub(r"\1", w)
 
 
 NAMES: dict[str, list[str]] = {}
@@ -51,15 +72,13 @@ for _line in GIVEN.replace("\n", " ").split(";"):
     for _w in [_name, *_forms]:
         NAMES.setdefault(_w, []).append(_name)
 
+_WORD = re.compile(r"[a-z]+")
 
-def code(word: str) -> str:
-    """A phonetic code: like consonants alike, doubles once, vowels only in front."""
-    w = re.sub(r"[^a-z]", "", word)
-    for a, b in (("ph", "f"), ("gh", "g"), ("ck", "k"), ("th", "t"), ("sch", "s"), ("sh", "s"), ("kn", "n"), ("wr", "r"), ("x", "ks"), ("qu", "k")):
-        w = w.replace(a, b)
-    w = w.translate(str.maketrans("cqwzydjb", "kkvsitip"))
-    w = w[:1] + re.sub(r"[aeiouh]", "", w[1:])
-    return re.sub(r"(.)\1+", r"\1", w)
+
+@lru_cache(1 << 16)
+def words(text: str | None) -> tuple[str, ...]:
+    """The words of a name, without titles."""
+    return tuple(w for w in _WORD.findall(fold((text or "").replace("'", "").replace("’", "").replace("`", ""))) if w not in TITLES)
 
 
 @lru_cache(1 << 16)
@@ -91,9 +110,6 @@ def _within(a: str, b: str, most: int) -> bool:
 
 def split_name(first: str | None, last: str | None, full: str | None, known: frozenset[str] = frozenset()) -> tuple[list[str], list[str]]:
     """(given names and initials, surname parts) in folded form. Particles are joined to the surname; titles are left out."""
-    def words(t: str | None) -> list[str]:
-        return [w for w in re.findall(r"[a-z]+", re.sub(r"['’`]", "", fold(t or "")).replace(".", " ")) if w not in TITLES]
-
     def is_given(w: str) -> bool:
         return w in NAMES or w in known
 
@@ -109,13 +125,13 @@ def split_name(first: str | None, last: str | None, full: str | None, known: fro
                 hold = ""
         return out + ([hold] if hold else [])
 
-    f, s = words(first), words(last)
+    f, s = list(words(first)), list(words(last))
     if not s and full:
         parts = re.split(r"[,;]", full, maxsplit=1)
         if len(parts) == 2 and words(parts[1]) and words(parts[0]):
-            f, s = words(parts[1]), words(parts[0])
+            f, s = list(words(parts[1])), list(words(parts[0]))
         else:
-            ws = words(full)
+            ws = list(words(full))
             cut = next((i for i, w in enumerate(ws) if w in PARTICLES and len(w) > 1), None)
             if cut == 0:
                 cut = next((i + 1 for i, w in enumerate(ws) if w not in PARTICLES), len(ws))
@@ -136,6 +152,7 @@ def split_name(first: str | None, last: str | None, full: str | None, known: fro
     return f, surname(s)
 
 
+@lru_cache(1 << 16)
 def read_dates(text: str | None) -> list[str]:
     """The dates that a text may mean, none for fillers: two where day and month can't be told apart."""
     t = (text or "").strip().lower()
@@ -168,12 +185,13 @@ def near_dates(dates: list[str]) -> list[str]:
 
 def read_email(text: str | None, first: list[str], last: list[str]) -> tuple[str | None, str | None]:
     """(mailbox with its parts in order, number at its end): the number is null unless the mailbox is made from the person's name."""
-    t = re.sub(r"[\s;,]+$", "", re.sub(r"^\s*mailto:\s*", "", (text or "").lower())).strip("﻿​ \t")
-    local = t.split("@")[0].split("+")[0]
-    if local in FILLERS or t in FILLERS or not re.search(r"[a-z]", local) or len(local) < 4:
+    t = (text or "").lower().strip(" \t\r\n;,\u200b\ufeff\xa0").removeprefix("mailto:").strip()
+    local = t.partition("@")[0].partition("+")[0]
+    if len(local) < 4 or local in FILLERS or t in FILLERS or not any("a" <= c <= "z" for c in local):
         return None, None
-    letters, digits = re.fullmatch(r"(.*?)(\d*)", local).groups()
-    parts = sorted(fold(p) for p in re.split(r"[._\-]+", letters) if p)
+    letters = local.rstrip("0123456789")
+    digits = local[len(letters) :]
+    parts = sorted(fold(p) for p in letters.replace("_", ".").replace("-", ".").split(".") if p)
     glued = "".join(parts)
     long = [w for w in [*last, *first] if len(w) >= 4]
     own = any(w[i : i + 4] in glued for w in long for i in range(len(w) - 3))
@@ -186,7 +204,8 @@ def _mail_names(box: str, digits: str, surname: str, given: list[str]) -> tuple[
     spelt = [p for p in parts if len(p) >= 5]
     if len(parts) == 1:
         spelt += [box[1 : len(box) - len(digits)]] + [parts[0][len(g) :] for g in given if parts[0].startswith(g)] + [parts[0][: -len(g)] for g in given if parts[0].endswith(g)]
-    return [w for w in spelt if len(w) >= 5 and w != surname and _within(w, surname, 3)], parts
+    near = dict.fromkeys(w for w in spelt if len(w) >= 5 and w != surname and (w[:2] == surname[:2] or w[-3:] == surname[-3:]))
+    return [w for w in near if _within(w, surname, 3)], parts
 
 
 def read_person(first: str | None, last: str | None, full: str | None, email: str | None, born: str | None, known: frozenset[str] = frozenset()) -> dict:
@@ -207,16 +226,10 @@ def read_person(first: str | None, last: str | None, full: str | None, email: st
                 given = sorted({n for w in parts for n in NAMES.get(w, []) if n[:1] == initials[0]})
     codes = sorted({code(w) for w in forms} - {""})
     near = near_dates(dates)
-    keys = {f"E|{box}"} if box else set()
-    for c in codes:
-        keys |= {f"D|{x}|{c[:2]}" for x in dates} | {f"N|{c}|{g}" for g in given} | {f"I|{c}|{i}" for i in initials} | {f"C|{x}|{c}|{i}" for x in near for i in initials}
-        if num:
-            keys.add(f"M|{num}|{c[:3]}")
-    keys |= {f"G|{x}|{g}" for x in dates for g in given}
-    return {"last": surname, "forms": sorted(forms), "codes": codes, "first": whole[0] if whole else "", "given": given, "initials": initials, "short": not given, "dates": dates, "near": near, "box": box, "num": num, "keys": sorted(keys)}
+    return {"last": surname, "forms": sorted(forms), "codes": codes, "first": whole[0] if whole else "", "given": given, "initials": initials, "short": not given, "dates": dates, "near": near, "box": box, "num": num}
 
 
-_PERSON = {"last": pa.string(), "forms": pa.list_(pa.string()), "codes": pa.list_(pa.string()), "first": pa.string(), "given": pa.list_(pa.string()), "initials": pa.list_(pa.string()), "short": pa.bool_(), "dates": pa.list_(pa.string()), "near": pa.list_(pa.string()), "box": pa.string(), "num": pa.string(), "keys": pa.list_(pa.string())}
+_PERSON = {"last": pa.string(), "forms": pa.list_(pa.string()), "codes": pa.list_(pa.string()), "first": pa.string(), "given": pa.list_(pa.string()), "initials": pa.list_(pa.string()), "short": pa.bool_(), "dates": pa.list_(pa.string()), "near": pa.list_(pa.string()), "box": pa.string(), "num": pa.string()}
 _SQL = {pa.string(): "string", pa.bool_(): "boolean", pa.list_(pa.string()): "array<string>"}
 
 
@@ -234,7 +247,7 @@ def vocabulary(first: DataFrame, last: DataFrame, most: int = 1000) -> frozenset
 
 
 def read_people(first: Column, last: Column, full: Column, email: Column, born: Column, known: frozenset[str] = frozenset()) -> Column:
-    """struct of what the values say: surname, its forms and codes, given names, dates of birth, mailbox, number, and keys that rows of one person share."""
+    """struct of what the values say: surname, its forms and codes, given names, dates of birth, mailbox, number."""
 
     @F.arrow_udf("struct<" + ",".join(f"{k}:{_SQL[t]}" for k, t in _PERSON.items()) + ">")
     def read(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
@@ -257,6 +270,27 @@ def identity_people(identities: DataFrame, known: frozenset[str] = frozenset())
     return identities.withColumn("p", read_people(at("firstname"), at("lastname"), at("displayName"), at("email"), at("birthDate"), known)).select("id", "p.*")
 
 
+def shared_keys() -> Column:
+    """array<struct<t, k>>: keys that rows of one person share, of the kinds D (date of birth and start of a surname's code), N (code and given name),
+    I (code and initial), M (code and number of a mailbox), G (date and given name), B (a mailbox with a number or of no name) and E (another)."""
+    cross = lambda t, x, y, part="x": f"transform(flatten(transform({x}, x -> transform({y}, y -> xxhash64('{t}', {part}, y)))), k -> named_struct('t', '{t}', 'k', k))"
+    none = "cast(array() as array<struct<t:string,k:bigint>>)"
+    box = "if(num = '', 'E', 'B')"
+    return F.expr(
+        f"concat({cross('D', 'codes', 'dates', 'substring(x, 1, 2)')}, {cross('N', 'codes', 'given')}, {cross('I', 'codes', 'initials')}, {cross('G', 'dates', 'given')}, "
+        f"if(num <> '', transform(codes, x -> named_struct('t', 'M', 'k', xxhash64('M', num, substring(x, 1, 3)))), {none}), if(box is not null, array(named_struct('t', {box}, 'k', xxhash64('E', box))), {none}))"
+    )
+
+
+def near_keys() -> Column:
+    """array<struct<t, k>>: kind C, what near dates of birth share, with the surname's code and the initial; for names that many bear."""
+    return F.expr("transform(flatten(flatten(transform(codes, x -> transform(initials, y -> transform(near, z -> xxhash64('C', x, y, z)))))), k -> named_struct('t', 'C', 'k', k))")
+
+
+#: Kinds of keys that only say a name.
+NAME_ONLY = ["N", "I", "E"]
+
+
 def overlap(a: str, b: str) -> Column:
     return F.arrays_overlap(F.col(a), F.col(b))
 
