@@ -63,7 +63,7 @@ def name_sql(duck: bool, column: str) -> tuple[str, str]:
     for full, short in FIRST.items():
         t = r(t, f"^(?:{short.replace(' ', '|')}) ", full + " ")
     for full, short in LAST.items():
-        t = r(t, f" ?(?:{short.replace(' ', '|')})$", " " + full)
+        t = r(t, f" ?(?:{full}|{short.replace(' ', '|')})$", " " + full)
     return f"replace({t}, ' ', '')", state
 
 
