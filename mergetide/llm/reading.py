@@ -114,6 +114,8 @@ def rank(x: np.ndarray, grade: np.ndarray, rounds: int = 400, pairs: int = 60000
 
 def learn(graded: list[tuple[str, float]], words: dict[str, tuple[int, int]], seed: int = 0) -> Model:
     """``graded``: texts and mean grades; ``words``: in how many documents that are surely prose, and surely not, a word stands."""
+    if not graded:
+        return Model({}, {}, [0.0] * len(_SYNTAX), [(0.0, 3.0)])
     a, b = max((x for x, _ in words.values()), default=1) + 1, max((y for _, y in words.values()), default=1) + 1
     prose = {w: max(-4.0, min(4.0, math.log((x + 0.5) / a) - math.log((y + 0.5) / b))) for w, (x, y) in words.items()}
     model = Model(prose, {}, [0.0] * len(_SYNTAX), [(0.0, 3.0)])
