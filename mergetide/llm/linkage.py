@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mergetide.llm.people import NAME_ONLY, evidence, feed_people, identity_people, near_keys, shared_keys, vocabulary
+from mergetide.llm.people import NAME_ONLY, VALUES, evidence, feed_people, identity_people, near_keys, reading, shared_keys, vocabulary
 from mergetide.llm.survivorship import correlated
 from mergetide.session import cut
 from mergetide.sources import read_table
@@ -75,9 +75,6 @@ def best_of(scored: DataFrame) -> DataFrame:
     return top.where((F.col("t.score") >= ACCEPT) & (F.col("t.score") - behind >= MARGIN)).select("key", "t.identity_id", "t.score")
 
 
-VALUES = ["last", "forms", "codes", "first", "given", "initials", "short", "dates", "near", "box", "num"]
-
-
 def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
     """(key, identity_id, confidence): the known person that each record is of, if one can be told.
 
@@ -128,24 +125,18 @@ def link_feed(feed: DataFrame, identities: DataFrame, managed: DataFrame) -> Dat
     """(record_id, identity_id, confidence) of the uncorrelated rows of identity_feed."""
     use = feed.select("record_id", "source_id", "id", "firstName", "lastName", "fullName", "email", "birthDate", "phone", "ssn")
     known_names = vocabulary(feed.select("firstName"), feed.select("lastName"))
-    people = feed_people(correlated(use, managed), known_names).withColumn("reading", _reading())
-    household = F.concat(_digits("phone", 10), F.lit("|"), F.get("initials", F.lit(0)))
+    people = feed_people(correlated(use, managed), known_names).withColumn("reading", reading())
+    household = F.concat(_digits("phone", 10), F.lit("|"), F.get("initials", F.lit(0)).cast("string"))
     # A mailbox of the person's name without a number may be anyone's of that name, and a phone anyone's of a household.
     people = people.select("record_id", "identity_id", "reading", *VALUES, F.xxhash64("source_id", "id").alias("account"), household.alias("phone"), _digits("ssn", 9).alias("ssn"), F.when(F.coalesce(F.col("num") != "", F.lit(True)), F.col("box")).alias("mail"))
     people = cut(people)
     ties = ["account", "mail", "phone", "ssn"]
-    who = cut(identity_people(identities, known_names).withColumn("reading", _reading()).withColumn("mail", F.when(F.coalesce(F.col("num") != "", F.lit(True)), F.col("box"))))
+    who = cut(identity_people(identities, known_names).withColumn("reading", reading()).withColumn("mail", F.when(F.coalesce(F.col("num") != "", F.lit(True)), F.col("box"))))
     known = people.where("identity_id is not null").join(who.select(F.col("id").alias("identity_id")), "identity_id", "left_semi").drop("record_id")
     known = known.unionByName(who.withColumnRenamed("id", "identity_id"), allowMissingColumns=True)
     return link(people.where("identity_id is null").withColumnRenamed("record_id", "key"), known, ties).withColumnRenamed("key", "record_id")
 
 
-def _reading() -> Column:
-    """A number for all that a person's values say."""
-    flat = lambda c: F.concat_ws(" ", c)
-    return F.xxhash64("last", "first", flat("forms"), flat("given"), flat("initials"), flat("dates"), F.coalesce("box", F.lit("-")), F.coalesce("num", F.lit("-")))
-
-
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return link_feed(read_table(spark, folder, "identity_feed"), read_table(spark, folder, "identities", "id", "attributes"), read_table(spark, folder, "managed_accounts", "source_id", "native_identity", "identity_id")).select("record_id", "identity_id")
 

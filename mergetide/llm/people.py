@@ -7,6 +7,7 @@ import unicodedata
 from collections.abc import Iterator
 from datetime import date
 from functools import lru_cache
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -229,8 +230,24 @@ def read_person(first: str | None, last: str | None, full: str | None, email: st
     return {"last": surname, "forms": sorted(forms), "codes": codes, "first": whole[0] if whole else "", "given": given, "initials": initials, "short": not given, "dates": dates, "near": near, "box": box, "num": num}
 
 
-_PERSON = {"last": pa.string(), "forms": pa.list_(pa.string()), "codes": pa.list_(pa.string()), "first": pa.string(), "given": pa.list_(pa.string()), "initials": pa.list_(pa.string()), "short": pa.bool_(), "dates": pa.list_(pa.string()), "near": pa.list_(pa.string()), "box": pa.string(), "num": pa.string()}
-_SQL = {pa.string(): "string", pa.bool_(): "boolean", pa.list_(pa.string()): "array<string>"}
+_INTS = pa.list_(pa.int32())
+#: What is kept of a person for matching: texts that only have to be equal are kept as hashes.
+_PERSON = {"last": pa.string(), "first": pa.string(), "short": pa.bool_(), "num": pa.string(), "box": pa.string(), "forms": _INTS, "codes": _INTS, "heads": _INTS, "given": _INTS, "initials": _INTS, "dates": _INTS, "near": _INTS}
+_SQL = {pa.string(): "string", pa.bool_(): "boolean", _INTS: "array<int>"}
+VALUES = list(_PERSON)
+
+
+@lru_cache(1 << 16)
+def _hash(text: str) -> int:
+    return crc32(text.encode("utf-8", "surrogatepass")) - (1 << 31)
+
+
+def _compact(p: dict) -> dict:
+    p["heads"] = sorted({c[:2] for c in p["codes"]})
+    p["dates"] = [date.fromisoformat(d).toordinal() for d in p["dates"]]
+    for k in ("forms", "codes", "heads", "given", "initials", "near"):
+        p[k] = [_hash(x) for x in p[k]]
+    return p
 
 
 def vocabulary(first: DataFrame, last: DataFrame, most: int = 1000) -> frozenset[str]:
@@ -252,7 +269,7 @@ def read_people(first: Column, last: Column, full: Column, email: Column, born:
     @F.arrow_udf("struct<" + ",".join(f"{k}:{_SQL[t]}" for k, t in _PERSON.items()) + ">")
     def read(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for b in batches:
-            got = [read_person(*row, known) for row in zip(*[c.to_pylist() for c in b], strict=True)]
+            got = [_compact(read_person(*row, known)) for row in zip(*[c.to_pylist() for c in b], strict=True)]
             yield pa.StructArray.from_arrays([pa.array([g[k] for g in got], t) for k, t in _PERSON.items()], list(_PERSON))
 
     return read(first, last, full, email, born)
@@ -272,13 +289,13 @@ def identity_people(identities: DataFrame, known: frozenset[str] = frozenset())
 
 def shared_keys() -> Column:
     """array<struct<t, k>>: keys that rows of one person share, of the kinds D (date of birth and start of a surname's code), N (code and given name),
-    I (code and initial), M (code and number of a mailbox), G (date and given name), B (a mailbox with a number or of no name) and E (another)."""
-    cross = lambda t, x, y, part="x": f"transform(flatten(transform({x}, x -> transform({y}, y -> xxhash64('{t}', {part}, y)))), k -> named_struct('t', '{t}', 'k', k))"
+    I (code and initial), M (start of a code and number of a mailbox), G (date and given name), B (a mailbox with a number or of no name), E (another)."""
+    cross = lambda t, x, y: f"transform(flatten(transform({x}, x -> transform({y}, y -> xxhash64('{t}', x, y)))), k -> named_struct('t', '{t}', 'k', k))"
     none = "cast(array() as array<struct<t:string,k:bigint>>)"
     box = "if(num = '', 'E', 'B')"
     return F.expr(
-        f"concat({cross('D', 'codes', 'dates', 'substring(x, 1, 2)')}, {cross('N', 'codes', 'given')}, {cross('I', 'codes', 'initials')}, {cross('G', 'dates', 'given')}, "
-        f"if(num <> '', transform(codes, x -> named_struct('t', 'M', 'k', xxhash64('M', num, substring(x, 1, 3)))), {none}), if(box is not null, array(named_struct('t', {box}, 'k', xxhash64('E', box))), {none}))"
+        f"concat({cross('D', 'heads', 'dates')}, {cross('N', 'codes', 'given')}, {cross('I', 'codes', 'initials')}, {cross('G', 'dates', 'given')}, "
+        f"if(num <> '', transform(heads, x -> named_struct('t', 'M', 'k', xxhash64('M', num, x))), {none}), if(box is not null, array(named_struct('t', {box}, 'k', xxhash64('E', box))), {none}))"
     )
 
 
@@ -287,6 +304,11 @@ def near_keys() -> Column:
     return F.expr("transform(flatten(flatten(transform(codes, x -> transform(initials, y -> transform(near, z -> xxhash64('C', x, y, z)))))), k -> named_struct('t', 'C', 'k', k))")
 
 
+def reading() -> Column:
+    """A number for all that a person's values say."""
+    return F.xxhash64(*[F.coalesce(c, F.lit("-")) if c in ("num", "box") else F.col(c) for c in VALUES])
+
+
 #: Kinds of keys that only say a name.
 NAME_ONLY = ["N", "I", "E"]
 
