@@ -97,15 +97,27 @@ def given_names(word: str, words: frozenset[str]) -> tuple[str, ...]:
 
 
 def _within(a: str, b: str, most: int) -> bool:
-    """Whether a and b are within ``most`` edits."""
+    """Whether a and b are within ``most`` edits. Equal ends are cut off first, which leaves little of like texts."""
     if abs(len(a) - len(b)) > most:
         return False
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[-1 - i] == b[-1 - i]:
+        i += 1
+    a, b = a[: len(a) - i], b[: len(b) - i]
+    if not a or not b:
+        return True
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]
         for j, y in enumerate(b, 1):
             new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
         row = new
+        if min(row) > most:
+            return False
     return row[-1] <= most
 
 
@@ -226,8 +238,7 @@ def read_person(first: str | None, last: str | None, full: str | None, email: st
             if not given:
                 given = sorted({n for w in parts for n in NAMES.get(w, []) if n[:1] == initials[0]})
     codes = sorted({code(w) for w in forms} - {""})
-    near = near_dates(dates)
-    return {"last": surname, "forms": sorted(forms), "codes": codes, "first": whole[0] if whole else "", "given": given, "initials": initials, "short": not given, "dates": dates, "near": near, "box": box, "num": num}
+    return {"last": surname, "forms": sorted(forms), "codes": codes, "first": whole[0] if whole else "", "given": given, "initials": initials, "short": not given, "dates": dates, "box": box, "num": num}
 
 
 _INTS = pa.list_(pa.int32())
@@ -242,10 +253,16 @@ def _hash(text: str) -> int:
     return crc32(text.encode("utf-8", "surrogatepass")) - (1 << 31)
 
 
+@lru_cache(1 << 16)
+def _when(dates: tuple[str, ...]) -> tuple[list[int], list[int]]:
+    """The dates as day numbers, and the hashes of near_dates."""
+    return [date.fromisoformat(d).toordinal() for d in dates], [_hash(x) for x in near_dates(list(dates))]
+
+
 def _compact(p: dict) -> dict:
     p["heads"] = sorted({c[:2] for c in p["codes"]})
-    p["dates"] = [date.fromisoformat(d).toordinal() for d in p["dates"]]
-    for k in ("forms", "codes", "heads", "given", "initials", "near"):
+    p["dates"], p["near"] = _when(tuple(p["dates"]))
+    for k in ("forms", "codes", "heads", "given", "initials"):
         p[k] = [_hash(x) for x in p[k]]
     return p
 
