@@ -109,8 +109,13 @@ def lig3(a: str, b: str) -> float:
             row.append(v)
         two, one = one, row
     longest = max(len(a), len(b))
-    base = max(0.0, (longest - one[-1]) / longest)
-    return min(1.0, 0.7 * base + 0.2 * _token_part(a.split(), b.split()) + 0.1 * _prefix_part(a, b))
+    base = max(0.0, (longest - one[-1]) / longest * 100)
+    return min(100.0, base * 0.7 + _token_part(a.split(), b.split()) * 100 * 0.2 + _prefix_part(a, b) * 100 * 0.1) / 100
+
+
+def lig3_score(a: str, b: str) -> int:
+    """lig3 as a whole percentage; what is a half but for the last bit counts down, as sums of percentages do."""
+    return math.floor(lig3(a, b) * 100 + 0.5 - 1e-9)
 
 
 def _token_part(ours: list[str], theirs: list[str]) -> float:
@@ -119,7 +124,7 @@ def _token_part(ours: list[str], theirs: list[str]) -> float:
     used, hits = set(), 0
     for t in ours:
         for k, u in enumerate(theirs):
-            if k not in used and (t == u or (len(t) > 2 and len(u) > 2 and t[:2] == u[:2])):
+            if k not in used and (t == u or (len(t) > 2 and u.startswith(t[:2]))):
                 used.add(k)
                 hits += 1
                 break
@@ -131,7 +136,7 @@ def _prefix_part(a: str, b: str) -> float:
     same = 0
     while same < most and a[same] == b[same]:
         same += 1
-    return same / most if most else 0.0
+    return same / 5
 
 
 def length_gate(a: Column, b: Column, threshold: int) -> Column:

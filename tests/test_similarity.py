@@ -24,7 +24,7 @@ def test_dice(spark, a, b, want):
 
 @pytest.mark.parametrize(("a", "b", "want"), [("smith", "smyth", 60), ("robert", "robert smith", 58), ("ann", "ann b", 61), ("john", "john robert doe", 38), ("jo ann", "john", 41), ("john", "jo ann", 51)])
 def test_lig3(a, b, want):
-    assert S.percent(S.lig3(a, b)) == want
+    assert S.lig3_score(a, b) == want
 
 
 def test_metaphone_codes():
