@@ -10,8 +10,9 @@ from functools import lru_cache
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from mergetide.llm.survivorship import FILLERS
 
@@ -82,6 +83,13 @@ def words(text: str | None) -> tuple[str, ...]:
     return tuple(w for w in _WORD.findall(fold((text or "").replace("'", "").replace("’", "").replace("`", ""))) if w not in TITLES)
 
 
+def one_slip(word: str) -> set[str]:
+    """The words that one letter left out, put in, put for another or swapped with the next makes of a word."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    cuts = [(word[:i], word[i:]) for i in range(len(word) + 1)]
+    return {a + b[1:] for a, b in cuts if b} | {a + c + b for a, b in cuts for c in letters} | {a + c + b[1:] for a, b in cuts if b for c in letters} | {a + b[1] + b[0] + b[2:] for a, b in cuts if len(b) > 1}
+
+
 @lru_cache(1 << 16)
 def given_names(word: str, words: frozenset[str]) -> tuple[str, ...]:
     """The names that a given name may be a form of: itself if it is no form of any; a word with one slip counts as the word it must be."""
@@ -89,10 +97,7 @@ def given_names(word: str, words: frozenset[str]) -> tuple[str, ...]:
         return tuple(NAMES[word])
     if word in words or len(word) < 4:
         return (word,)
-    letters = "abcdefghijklmnopqrstuvwxyz"
-    cuts = [(word[:i], word[i:]) for i in range(len(word) + 1)]
-    near = {a + b[1:] for a, b in cuts if b} | {a + c + b for a, b in cuts for c in letters} | {a + c + b[1:] for a, b in cuts if b for c in letters} | {a + b[1] + b[0] + b[2:] for a, b in cuts if len(b) > 1}
-    meant = {n for w in near if w in words or (w in NAMES and len(w) > 3) for n in NAMES.get(w, [w])}
+    meant = {n for w in one_slip(word) if w in words or (w in NAMES and len(w) > 3) for n in NAMES.get(w, [w])}
     return tuple(sorted(meant)) if len(meant) == 1 else (word,)
 
 
@@ -267,17 +272,31 @@ def _compact(p: dict) -> dict:
     return p
 
 
-def vocabulary(first: DataFrame, last: DataFrame, most: int = 1000) -> frozenset[str]:
-    """The commonest given names (at most ``most``, so that they can go along with a function): words typed as given name far more often than as surname.
+#: A word counts as a given name from this share of all words typed as given names on, and from LEAST_SEEN rows on, as fewer show nothing in small tables;
+#: not if it is one slip away from a word that is FAR times as common. At most 1 / SHARE words reach the share, however large the tables are.
+SHARE, LEAST_SEEN, FAR = 5e-4, 3, 5
+
+
+@F.arrow_udf(StringType())
+def _folded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for b in batches:
+        yield pa.array([fold(w) for w in b.to_pylist()], pa.string())
+
+
+def vocabulary(first: DataFrame, last: DataFrame) -> frozenset[str]:
+    """The given names of a table: words that have a share of those typed as given name, are typed so far more often than as surname, and are no slip of a far
+    commoner one. The share bounds their number, so they can go along with a function.
 
     ``first`` and ``last`` have one column of texts each; all rows are counted.
     """
     def count(df: DataFrame, name: str) -> DataFrame:
         words = F.explode(F.regexp_extract_all(F.lower(F.col(df.columns[0])), F.lit(r"[\p{L}]{2,}"), F.lit(0)))
-        return df.select(words.alias("w")).groupBy("w").agg(F.count("*").alias(name))
+        seen = df.select(words.alias("w")).groupBy("w").agg(F.count("*").alias(name))
+        return seen.select(_folded("w").alias("w"), name).groupBy("w").agg(F.sum(name).alias(name))
 
-    both = count(first, "n").join(count(last, "m"), "w", "left").where("n >= 3 and n > 4 * coalesce(m, 0)")
-    return frozenset(fold(r["w"]) for r in both.orderBy(F.desc("n"), "w").limit(most).collect())
+    both = count(first, "n").withColumn("all", F.sum("n").over(Window.partitionBy())).where(F.col("n") >= F.greatest(F.lit(float(LEAST_SEEN)), F.col("all") * SHARE))
+    seen = {r["w"]: r["n"] for r in both.join(count(last, "m"), "w", "left").where("n > 4 * coalesce(m, 0)").collect()}
+    return frozenset(w for w, n in seen.items() if w in NAMES or len(w) < 4 or not any(seen.get(v, 0) >= FAR * n for v in one_slip(w)))
 
 
 def read_people(first: Column, last: Column, full: Column, email: Column, born: Column, known: frozenset[str] = frozenset()) -> Column:
