@@ -25,7 +25,7 @@ from mergetide.sources import read_table
 #: ACCEPT without a date or mailbox, and such records meet through the keys that join the name with those.
 RARE = 24
 #: Least score of a link, and how far the next identity must be behind.
-ACCEPT, MARGIN, ROUNDS = 8.0, 1.5, 6
+ACCEPT, MARGIN = 8.0, 1.5
 #: Edges lighter than this part of a record's heaviest are pruned.
 PRUNE = 0.3
 SCORE = {
@@ -97,7 +97,8 @@ def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
     mine = cut(tied(records, "key").distinct())
     fixed = cut(tied(known, "identity_id").groupBy("tie").agg(F.min("identity_id").alias("lo"), F.max("identity_id").alias("hi")))
     got, before = sure.select("key", "identity_id"), 0
-    for _ in range(ROUNDS):
+    # Every round but the last adds records, so this ends by itself.
+    while True:
         told = mine.join(got, "key").groupBy("tie").agg(F.min("identity_id").alias("lo"), F.max("identity_id").alias("hi")).unionByName(fixed)
         told = told.groupBy("tie").agg(F.min("lo").alias("identity_id"), F.max("hi").alias("hi")).where("identity_id = hi").select("tie", "identity_id")
         heard = mine.join(got, "key", "left_anti").join(told, "tie").groupBy("key").agg(F.min("identity_id").alias("identity_id"), F.max("identity_id").alias("hi")).where("identity_id = hi").drop("hi")

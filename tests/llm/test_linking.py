@@ -177,6 +177,14 @@ def test_linkage(spark):
     assert linkage.link_feed(f, ids.limit(0), acc.limit(0)).collect() == []
 
 
+def test_ties_reach_as_far_as_they_go(spark):
+    # A chain: each record shares its account with the record before and its security number with the one after.
+    rows = [dict(record_id="c00", source_id="s", id="0", firstName="Robert", lastName="Grenaphgard", birthDate="1955-03-28", ssn="900000001")]
+    rows += [dict(record_id=f"c{k:02}", source_id="s", id=str(k // 2 * 2) if k % 2 else str(k), firstName=None, lastName="Grenaphgard", ssn=f"90000000{(k + 1) // 2 + 1}" if k % 2 else f"90000000{k // 2 + 1}") for k in range(1, 12)]
+    got = {r.record_id: r.identity_id for r in linkage.link_feed(feed(spark, *rows), people_tables(spark)[1], people_tables(spark)[2]).collect()}
+    assert got == {f"c{k:02}": "i1" for k in range(12)}
+
+
 def test_variants(spark):
     f, ids, acc = people_tables(spark)
     got = {tuple(r) for r in variants.name_variants(f, ids, acc).collect()}
