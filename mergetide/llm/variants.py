@@ -1,8 +1,9 @@
 """Problem 3: names of one person typed differently.
 
 Records are blocked by phonetic codes of their sorted name parts; pairs are compared by Jaro-Winkler and a table of nicknames; accepted pairs are
-clustered by connected components. As many people share a name, a name counts for more the fewer records bear it, and what else a record says
-(date of birth, mailbox) confirms or refutes a pair. A code that many records share is refined by those before any pair is made.
+clustered by connected components. As many people share a name, a name counts for more the fewer births come with it, and what else a record says
+(date of birth, mailbox) confirms or refutes a pair. A code that many records share is refined by those before any pair is made; what many records of one
+rare name link by the name alone becomes a star.
 """
 
 from __future__ import annotations
@@ -18,13 +19,40 @@ from mergetide.operators.components import components
 from mergetide.session import cut
 from mergetide.sources import read_table
 
-#: A code of a name alone makes pairs if at most so many different readings share it; by a commoner name alone no pair can reach ACCEPT, and those
-#: that can meet by the keys that join the name with a date or mailbox.
+#: A key of a name alone makes all its pairs if at most so many different readings share it. Beyond that its pairs are found in other ways (near dates,
+#: ``alike`` and ``boxed``), which give the same clusters without making them all.
 COMMON = 60
+#: The most births of a name that the score still counts for something.
+RARE_BIRTHS = 3
 #: Least score of a pair; least Jaro-Winkler of surnames and given names that no table or code links.
 ACCEPT, LIKE_SURNAME, LIKE_GIVEN = 8.0, 0.9, 0.88
 
 
+def alike(use: DataFrame, said: DataFrame) -> DataFrame:
+    """(reading, other): stars in place of the pairs that many bearers of a rare full name make by the name alone.
+
+    That takes the same form of the surname, one given name and no second birth (4 + 2 + 2 in the score), so all that share these belong together, unless
+    the numbers of their mailboxes differ. A reading without mailbox of its name contradicts none and is joined to all; the mailboxes without a number
+    agree among themselves; those with the same number meet by it.
+    """
+    rare = use.where((F.col("t") == "N") & (F.col("df") > COMMON) & (F.col("births") <= 1)).select("k", "reading")
+    same = rare.join(said, "reading").select("k", "reading", "a.num", "a.given", F.explode("a.forms").alias("form")).select("k", "reading", "num", "form", F.explode("given").alias("name"))
+    least = same.groupBy("k", "form", "name").agg(F.min(F.when(F.col("num").isNull(), F.col("reading"))).alias("any"), F.min(F.when(F.col("num") == "", F.col("reading"))).alias("blank"))
+    stars = same.join(least, ["k", "form", "name"]).select("reading", F.explode(F.array("any", F.when(F.col("num") == "", F.col("blank")))).alias("other"))
+    return stars.where("other is not null and reading <> other").distinct()
+
+
+def boxed(use: DataFrame, said: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(keys, pairs) in place of the pairs of a mailbox without a number that many share: keys (t, k, reading) of it with near dates, as two with dates need
+    those to agree; pairs (reading, other) by surname's code and initial, which a pair without two dates needs to reach ACCEPT."""
+    hot = use.where((F.col("t") == "E") & (F.col("df") > COMMON)).select("reading").distinct()
+    x = said.join(hot, "reading", "left_semi").select("reading", "a.*")
+    keys = x.select(F.lit("EC").alias("t"), F.explode(F.expr("transform(near, z -> xxhash64('EC', box, z))")).alias("k"), "reading")
+    named = x.select("reading", (F.size("dates") == 0).alias("undated"), F.explode(F.expr("flatten(transform(codes, x -> transform(initials, y -> xxhash64('E', box, x, y))))")).alias("k"))
+    pairs = named.where("undated").select("k", "reading").join(named.select("k", F.col("reading").alias("other")), "k").where("reading <> other")
+    return keys, pairs.select(F.least("reading", "other").alias("reading"), F.greatest("reading", "other").alias("other")).distinct()
+
+
 def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     """(key, component) of people that are one person.
 
@@ -43,10 +71,20 @@ def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     name_only = F.col("t").isin(NAME_ONLY)
     hot = use.where((F.col("t") == "I") & (F.col("df") > COMMON)).select("reading").distinct()
     more = people.where("size(near) > 0").join(hot, "reading", "left_semi").select("reading", F.explode(near_keys()).alias("x")).select("x.t", "x.k", "reading", F.lit(None).cast("long").alias("births")).distinct()
-    x = use.where(~name_only | (F.col("df") <= COMMON)).select("t", "k", "reading", "births").unionByName(more)
-    y = x.select("t", "k", F.col("reading").alias("other"))
-    met = cut(x.join(y, ["t", "k"]).where("reading < other").groupBy("reading", "other").agg(F.min(F.when(F.col("t").isin("N", "I"), F.col("births"))).cast("int").alias("borne")), use)
     said = people.groupBy("reading").agg(F.first(F.struct(*VALUES)).alias("a"))
+    keys, undated = boxed(use, said)
+    x = use.where(~name_only | (F.col("df") <= COMMON)).select("t", "k", "reading", "births").unionByName(more).unionByName(keys.withColumn("births", F.lit(None).cast("long")))
+    y = x.select("t", "k", F.col("reading").alias("other"))
+    pairs = x.join(y, ["t", "k"]).where("reading < other").select("reading", "other", F.when(F.col("t").isin("N", "I"), F.col("births")).alias("births"))
+    pairs = pairs.unionByName(undated.withColumn("births", F.lit(None).cast("long")))
+    # Keys of rare names that make no pairs by themselves still say how few bear the name.
+    stars = cut(alike(use, said))
+    few = use.where(F.col("t").isin("N", "I") & (F.col("df") > COMMON) & (F.col("births") <= RARE_BIRTHS)).groupBy("reading").agg(F.collect_list(F.struct("k", "births")).alias("few"))
+    few = cut(few)
+    met = pairs.groupBy("reading", "other").agg(F.min("births").cast("int").alias("borne"))
+    met = met.join(few, "reading", "left").join(few.select(F.col("reading").alias("other"), F.col("few").alias("fewb")), "other", "left")
+    shared = F.expr("array_min(transform(filter(few, x -> exists(fewb, y -> y.k = x.k)), x -> x.births))").cast("int")
+    met = cut(met.select("reading", "other", F.least("borne", shared).alias("borne")), use)
     e = evidence()
     pairs = met.join(said, "reading").join(said.select(F.col("reading").alias("other"), F.col("a").alias("b")), "other").where((F.coalesce(e["born"], F.lit(1)) > 0) & (F.coalesce(e["number"], F.lit(1)) > 0))
     # Jaro-Winkler is asked where neither table nor code links the names; it gives null for null.
@@ -55,7 +93,7 @@ def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("js", jw(F.when(ask_s, F.col("a.last")), F.when(ask_s, F.col("b.last")))).withColumn("jg", jw(F.when(ask_g, F.col("a.first")), F.when(ask_g, F.col("b.first"))))
     e["surname"] = F.when(F.col("js") >= LIKE_SURNAME, 2).otherwise(e["surname"])
     e["given"] = F.when(F.col("jg") >= LIKE_GIVEN, 2).otherwise(e["given"])
-    linked = pairs.where((score(e, F.coalesce(F.col("borne"), F.lit(COMMON))) >= ACCEPT) & (e["surname"] + F.coalesce(e["given"], F.lit(0)) > 0)).select("reading", "other")
+    linked = pairs.where((score(e, F.coalesce(F.col("borne"), F.lit(COMMON))) >= ACCEPT) & (e["surname"] + F.coalesce(e["given"], F.lit(0)) > 0)).select("reading", "other").unionByName(stars)
     # Nodes of the graph are readings and what is surely one person; an anchor that a single reading has joins nothing.
     tied = sure.join(people.select("key", "reading"), "key").select("reading", F.col("anchor").alias("other")).distinct()
     many = tied.groupBy("other").agg(F.count("*").alias("n")).where("n > 1").select("other")

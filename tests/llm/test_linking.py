@@ -190,3 +190,34 @@ def test_variants(spark):
     got = {tuple(r) for r in variants.name_variants(f, ids, acc).collect()}
     assert ("i1", "r1") in got and ("r1", "r4") in got and not any("r3" in p or "r2" in p or "r6" in p for p in got)
     assert variants.name_variants(f.limit(0), ids.limit(0), acc.limit(0)).collect() == []
+
+
+def groups_of(spark, rows):
+    """The clusters of (key, first, last, email, born), as a set of sets."""
+    df = spark.createDataFrame(rows, "key string, f string, l string, m string, b string")
+    none = F.lit(None).cast("string")
+    p = df.withColumn("p", people.read_people(F.col("f"), F.col("l"), none, F.col("m"), F.col("b"))).select("key", "p.*")
+    p = variants.cut(p.withColumn("reading", people.reading()))
+    out = {}
+    for r in variants.cluster(p, spark.createDataFrame([], "key string, anchor long")).distinct().collect():
+        out.setdefault(r.component, set()).add(r.key)
+    return {frozenset(x) for x in out.values()}
+
+
+def test_hot_rare_name_without_dates(spark):
+    rows = [(f"k{i:03}", "Robert" if i % 2 else "Bob", "Grenaphgard", None, None) for i in range(70)]
+    assert groups_of(spark, rows) == {frozenset(r[0] for r in rows)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_common_bound_changes_no_cluster(spark, monkeypatch, seed):
+    r = random.Random(seed)
+    rows = []
+    for i in range(150):
+        f, l = r.choice(["Robert", "Bob", "R", "Roberta", "Ursula", None]), r.choice(["Grenaphgard", "Grenafgard", "Grenaphgart", "Kelonier", "Kelonyer"])
+        box = r.choice([None, None, f"robert.{l.lower()}", f"ursula.{l.lower()}", f"r.{l.lower()}", f"robert.{l.lower()}{r.choice([7, 8])}", "pixel", f"pixel{i}"])
+        rows.append((f"k{i:03}", f, l, box and box + "@x.example", r.choice([None, None, None, f"19{r.randrange(50, 99)}-0{r.randrange(1, 10)}-1{r.randrange(10)}"]) if l[0] == "K" else r.choice([None, None, "1955-03-28"])))
+    monkeypatch.setattr(variants, "COMMON", 1 << 20)
+    want = groups_of(spark, rows)
+    monkeypatch.setattr(variants, "COMMON", 4)
+    assert groups_of(spark, rows) == want and len(want) > 1
