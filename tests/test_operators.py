@@ -3,11 +3,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mergetide.functions.similarity import percent
+from mergetide.functions.similarity import dice, percent
 from mergetide.operators import blocking, claims, greedy, mapping, matching, unique
 from mergetide.operators.components import components
 from mergetide.operators.hierarchy import feed_hierarchy, hierarchy
 from mergetide.operators.ordinals import running_number
+from mergetide.plans import fusion
 from mergetide.sources import scan
 
 
@@ -104,6 +105,21 @@ def test_leaders_are_sequential(spark, seed):
     assert {x.v: x.leader for x in got.collect()} == want
 
 
+def test_deferral_against_every_pair(spark):
+    r = random.Random(4)
+    rows = [("00", "s", "jonathan smith"), ("01", "s", "jonathan smyth"), ("02", "s", "smith jonathan"), ("03", "s", "jonathan smith phd"), ("04", "s", "x"), ("05", "s", "x"), ("06", "t", "jonathan smith"), ("07", None, "jonathan smith"), ("08", None, "jonathan smith")]
+    for i in range(10, 99):
+        w = list(r.choice(["anna bergman", "annabel bergmann", "aaaa aa", "ann", "bob", "jonathan smith"]))
+        w[r.randrange(len(w))] = r.choice(["", "a", "xy", "nn"])
+        rows.append((str(i), r.choice("st"), " ".join("".join(w).split())))
+    want = {}
+    for i, s, n in rows:
+        want[i] = next((j for j, t, m in rows if s and j < i and s == t and want[j] == j and percent(dice(n, m)) >= 75), i)
+    got = fusion.deferred(spark.createDataFrame(rows, "id string, source_id string, name string"))
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want.items())
+    assert want["01"] == want["03"] == "00"
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_exclusive_is_sequential(spark, seed):
     r = random.Random(seed)
