@@ -95,7 +95,7 @@ def lig3(a: str, b: str) -> float:
     Edits: substitution 1, gap 0.9, a gap at the start 0.8, a swap of neighbours 0.5, against the longer length.
     """
     if a == b:
-        return 1.0
+        return 1.0 if a else 0.0
     if not a or not b:
         return 0.0
     two: list[float] = []
@@ -145,7 +145,7 @@ def length_gate(a: Column, b: Column, threshold: int) -> Column:
 
 
 def double_metaphone(word: str) -> tuple[str, str]:
-    """Primary and secondary phonetic code, of the published algorithm's main rules, for Latin letters; four signs at most."""
+    """Primary and secondary phonetic code, of the published algorithm's main rules, for Latin letters; codes are as long as the text makes them."""
     w = "".join(c for c in word.upper() if c.isalpha())
     one, two, i, n = [], [], 0, len(w)
     at = lambda k, *xs: any(k >= 0 and w.startswith(x, k) for x in xs)
@@ -160,7 +160,7 @@ def double_metaphone(word: str) -> tuple[str, str]:
     if at(0, "X"):
         put("S")
         i = 1
-    while i < n and (len("".join(one)) < 4 or len("".join(two)) < 4):
+    while i < n:
         c, step = w[i], 1
         if c in "AEIOUY":
             if i == 0:
@@ -352,7 +352,7 @@ def double_metaphone(word: str) -> tuple[str, str]:
                 put("S", "TS" if at(i + 1, "ZO", "ZI", "ZA") else "S")
             step = 2 if at(i + 1, "Z", "H") else 1
         i += step
-    return "".join(one)[:4], "".join(two)[:4]
+    return "".join(one), "".join(two)
 
 
 def _code_likeness(a: str, b: str) -> float:
@@ -378,7 +378,7 @@ def dice(a: str, b: str) -> float:
 
 
 def metaphone_score(a: str, b: str) -> int:
-    """100 for equal primary codes, 80 for equal secondary ones, 70 across; else a step of the codes' likeness: 60, 45, 30, 15 or 0."""
+    """100 for equal primary codes, 80 for equal secondary ones, 70 across; else a step of the best likeness of any two codes: 60, 45, 30, 15 or 0."""
     (p, s), (q, t) = double_metaphone(a), double_metaphone(b)
     if p and p == q:
         return 100
@@ -386,7 +386,7 @@ def metaphone_score(a: str, b: str) -> int:
         return 80
     if p == t or s == q:
         return 70
-    like = _code_likeness(p, q)
+    like = max((_code_likeness(x, y) for x in (p, s) for y in (q, t) if x and y), default=0.0)
     return next((v for least, v in ((0.85, 60), (0.7, 45), (0.55, 30), (0.4, 15)) if like >= least), 0)
 
 

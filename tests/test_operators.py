@@ -161,6 +161,12 @@ def test_rules(spark):
     assert matching.scored(pairs, [matching.Rule("n", "nothing", 60)]).first().r0 is None
 
 
+def test_rules_take_names_in_their_forms(spark):
+    pairs = spark.createDataFrame([(1, 1, "renée o'neil", "renee oneil"), (2, 2, "zoë", "zoe")], "a int, i int, n_a string, n_i string")
+    got = {r.a: (r.r0, r.r1) for r in matching.scored(pairs, [matching.Rule("n", "name-matcher", 60), matching.Rule("n", "lig3", 60)]).collect()}
+    assert got[1][0] == 100 and got[2] == (100, 100)
+
+
 def test_caps_and_ranks(spark):
     df = spark.createDataFrame([(1, "a", 1, True, False, 90.0), (1, "b", 2, True, True, 100.0), (1, "c", 3, True, False, 95.0), (1, "d", 4, False, False, 10.0)], "a int, i string, o int, passed boolean, exact boolean, combined double")
     assert [r.i for r in matching.first_candidates(df, "a", "o", 5, stop_at_exact=True).orderBy("o").collect()] == ["a", "b"]

@@ -34,6 +34,13 @@ def test_metaphone_codes():
     assert S.metaphone_score("smith", "smyth") == 100
 
 
+def test_metaphone_of_whole_names_and_all_codes(monkeypatch):
+    assert S.metaphone_score("jonathan smith", "jonathan smith") == 100
+    assert S.metaphone_score("jonathan smith", "jonathan brown") < 100
+    monkeypatch.setattr(S, "double_metaphone", {"a": ("KKKK", "TRSN"), "b": ("LLLL", "TRSM")}.get)
+    assert S.metaphone_score("a", "b") == 60
+
+
 def test_names_in_any_order():
     assert S.name_score("john smith", "smith john") > 0.75
     assert S.name_score("j smith", "john smith") > S.name_score("k smith", "john smith")
