@@ -97,7 +97,7 @@ def test_pigeonhole_misses_nothing(spark):
 
 @pytest.mark.parametrize(
     ("text", "want"),
-    [("8100 Kestrelwash Pl", ("8100", "", "", "kestrelwash", "place")), ("Ravenfold Sq 2952", ("2952", "", "", "ravenfold", "square")), ("No 3B, 5687 North Masongreen Ave.", ("5687", "3b", "n", "masongreen", "avenue")), ("c/o Reception, apartment 21C, 457 No. Pebblecombe Court", ("457", "21c", "n", "pebblecombe", "court")), ("Heronwood Circle #6656 - Ste 21", ("6656", "21", "", "heronwood", "circle")), ("3949 flintstead rd, North Pemandale", ("3949", "", "", "flintstead", "road")), ("", (None, "", "", None, "")), (None, (None, "", "", None, ""))],
+    [("8100 Kestrelwash Pl", ("8100", "", "", "kestrelwash", "place")), ("Ravenfold Sq 2952", ("2952", "", "", "ravenfold", "square")), ("No 3B, 5687 North Masongreen Ave.", ("5687", "3b", "n", "masongreen", "avenue")), ("c/o Reception, apartment 21C, 457 No. Pebblecombe Court", ("457", "21c", "n", "pebblecombe", "court")), ("Heronwood Circle #6656 - Ste 21", ("6656", "21", "", "heronwood", "circle")), ("3949 flintstead rd, North Pemandale", ("3949", "", "", "flintstead", "road")), ("77 5th Ave", ("77", "", "", "5th", "avenue")), ("12 Old Mill Rd rushaton", ("12", "", "", "oldmill", "road")), ("Apt B, 12 N Main St", ("12", "b", "n", "main", "street")), ("", (None, "", "", None, "")), (None, (None, "", "", None, ""))],
 )
 def test_read_address(text, want):
     assert addresses.read_address(text) == want
@@ -112,6 +112,49 @@ def test_same_places(spark):
     assert sorted(tuple(r) for r in addresses.same_places(df.union(df)).collect()) == got
 
 
+@pytest.mark.parametrize(
+    ("one", "two"),
+    [("12 Old Mill Road", "12 Old Church Road"), ("4 San Pedro Ave", "4 San Mateo Ave"), ("9 Martin Luther King Blvd", "9 Martin Street"), ("55 Lake Shore Drive", "55 Lake View Court"), ("77 5th Ave", "77 South Ave"), ("77 5th Ave", "77 6th Ave"), ("8 Kestrelwash Road", "8 Kestrelburn Road"), ("8 Oak Street Apt B", "8 Oak Street Apt C")],
+)
+def test_other_streets(spark, one, two):
+    df = spark.createDataFrame([("a", one, "Rushaton", "WA", "10101"), ("b", two, "Rushaton", "WA", "10101")], "record_id string, address string, city string, state string, zipCode string")
+    assert addresses.same_places(df).collect() == []
+
+
+def test_candidates_lose_no_pair(spark):
+    # Against all pairs: whatever reaches the cosine, is compatible and shares a place comes out.
+    r = random.Random(3)
+    street, towns = ["kestrelwash", "kestrelburn", "oldmill", "oldchurch", "main", "mainline", "oakmere"], ["rushaton", "rushaten", "glyelford", None]
+    slip = lambda w: (w[: (k := r.randrange(len(w)))] + r.choice(["", "a", "x"]) + w[k + 1 :]) if w and r.random() < 0.4 else w
+    rows = []
+    for k in range(160):
+        rows.append((k, str(r.randrange(1, 3)), "", "", slip(r.choice(street)), r.choice(["", "road", "lane"]), r.choice(towns), r.choice(["wa", None]), r.choice(["10101", "10110", "20202", None])))
+    fields = ["variant", *addresses._FIELDS]
+    v = spark.createDataFrame(rows, "variant long, house string, unit string, direction string, name string, kind string, town string, st string, zip string")
+    weights = addresses.rarities(v)
+    keys = {}
+    for x in addresses.town_keys(v.where("town is not null").groupBy("town").agg(F.count("*").alias("n"))).collect():
+        keys.setdefault(x.town, set()).add(x.place)
+    both = [(dict(zip(fields, x)), dict(zip(fields, y))) for x in rows for y in rows if x[0] < y[0] and x[1] == y[1]]
+    ok = {(x.a, x.b) for x in spark.createDataFrame([(a, b) for a, b in both], "a struct<variant:long,direction:string,name:string,kind:string,st:string>, b struct<variant:long,direction:string,name:string,kind:string,st:string>").where(addresses._compatible("a", "b")).select(F.col("a.variant").alias("a"), F.col("b.variant").alias("b")).collect()}
+    want = set()
+    for a, b in both:
+        lacks = (not a["town"] or not b["town"]) and (not a["zip"] or not b["zip"])
+        place = bool(keys.get(a["town"], set()) & keys.get(b["town"], set())) or bool(a["zip"] and b["zip"] and sorted(a["zip"]) == sorted(b["zip"])) or bool(lacks and a["st"] and a["st"] == b["st"])
+        part = lambda x: (x["name"], x["town"], x["zip"])
+        if place and (a["variant"], b["variant"]) in ok and addresses.cosine(part(a), part(b), weights) >= addresses.COSINE:
+            want.add((a["variant"], b["variant"]))
+    got = {(x.va, x.vb) for x in addresses.near_variants(v).collect()}
+    assert got == want and len(want) > 100
+
+
+def test_copies_make_no_links(spark):
+    df = spark.createDataFrame([(f"c{k:03}", "12 Oakmere Street", "Rushaton", "WA", "10101") for k in range(50)] + [("d", "12 Oakmere St", "Rushaton", "WA", None)], "record_id string, address string, city string, state string, zipCode string")
+    members, links = addresses.locations(df)
+    assert links.count() == 1 and members.count() == 51 and members.select("spelling").distinct().count() == 2
+    assert addresses.same_places(df).count() == 50
+
+
 # p7
 
 
