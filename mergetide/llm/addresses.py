@@ -264,11 +264,13 @@ def town_keys(towns: DataFrame) -> DataFrame:
 
 
 def _compatible(a: str, b: str) -> Column:
-    """What a cosine can't say of two readings that share house number, unit and place: kind, direction and state don't differ, nor the name by more than a few edits."""
+    """What a cosine can't say of two readings that share house number, unit and place: kind, direction, state and a number in the name don't differ, nor the name by more
+    than a few edits."""
     c = lambda t, n: F.col(f"{t}.{n}")
     blank = lambda n: (c(a, n) == "") | (c(b, n) == "") | (c(a, n) == c(b, n))
     most = F.greatest(F.lit(2.0), F.least(F.length(c(a, "name")), F.length(c(b, "name"))) / EDIT_EACH)
-    return blank("kind") & blank("direction") & F.coalesce(c(a, "st") == c(b, "st"), F.lit(True)) & (F.levenshtein(c(a, "name"), c(b, "name")) <= most)
+    number = lambda t: F.regexp_replace(c(t, "name"), "[^0-9]", "")
+    return (number(a) == number(b)) & blank("kind") & blank("direction") & F.coalesce(c(a, "st") == c(b, "st"), F.lit(True)) & (F.levenshtein(c(a, "name"), c(b, "name")) <= most)
 
 
 def near_variants(variants: DataFrame) -> DataFrame:
