@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mergetide.session import cut
+from mergetide.session import cut, told
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -16,10 +16,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     the logarithm of the longest chain. Each step is one shuffle, with the smallest neighbour found by a partial aggregation, so that
     a node with many neighbours holds up no task.
     """
-    e = edges.where(f"`{a}` is not null and `{b}` is not null").select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
-    loops = e.where("u = v").select(F.col("u").alias("node"))
-    e = cut(e.where("u < v"))
-    ends = cut(e.select(F.col("u").alias("node")).union(e.select(F.col("v").alias("node"))).union(loops).distinct())
+    given = cut(edges.where(f"`{a}` is not null and `{b}` is not null").select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct())
+    ends = given.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    e = given.where("u < v")
     before = None
     while True:
         # Large star: larger neighbours of a node are joined to the smallest node of its neighbourhood.
@@ -29,8 +28,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         # Small star: a node and its smaller neighbours are joined to the smallest of them.
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).where("u <> v").distinct()
-        e = cut(small, e)
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        e = cut(small, *([e] if before else []), sum=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
+        now = told(e), told(e, "sum")
         if now == before:
             break
         before = now

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mergetide.session import cut
+from mergetide.session import cut, told
 
 
 def whole_number(c: Column) -> Column:
@@ -57,9 +57,9 @@ def hierarchy(nodes: DataFrame, scope: str, node: str, parent: str, label: str)
         going = st.where("jump is not null").join(target, ["s", "jump"], "left")
         moved = going.select("s", "v", F.col("t_jump").alias("jump"), (F.col("dist") + F.col("t_dist")).alias("dist"), F.col("t_top").alias("top"), "size", F.least("least", "t_least").alias("least"))
         st = moved.unionByName(st.where("jump is null")).join(under, ["s", "v"], "left").select("s", "v", "jump", "dist", "top", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"), "least")
-        st = cut(st, known_st)
+        st = cut(st, known_st, left=F.count("jump"))
         steps *= 2
-        left = st.where("jump is not null").count()
+        left = told(st, "left")
         # A finite chain still under way has at most as many nodes as are under way beyond those already passed.
         if left == 0 or (last is not None and steps >= last):
             break
@@ -75,9 +75,10 @@ def hierarchy(nodes: DataFrame, scope: str, node: str, parent: str, label: str)
     chained = cut(chained)
     # The head of each chain, by doubling along the heavy links.
     hd = chained.select("s", "v", F.when(F.col("goes_on"), F.col("p")).alias("jump"), F.when(F.col("goes_on"), 1).otherwise(0).cast("long").alias("pos"), F.when(~F.col("goes_on"), F.col("v")).alias("head"))
-    while hd.where("jump is not null").limit(1).count():
+    hd = cut(hd, left=F.count("jump"))
+    while told(hd, "left"):
         t = hd.select("s", F.col("v").alias("jump"), F.col("jump").alias("t_jump"), F.col("pos").alias("t_pos"), F.col("head").alias("t_head"))
-        hd = cut(hd.where("jump is not null").join(t, ["s", "jump"], "left").select("s", "v", F.col("t_jump").alias("jump"), (F.col("pos") + F.col("t_pos")).alias("pos"), F.col("t_head").alias("head")).unionByName(hd.where("jump is null")), hd)
+        hd = cut(hd.where("jump is not null").join(t, ["s", "jump"], "left").select("s", "v", F.col("t_jump").alias("jump"), (F.col("pos") + F.col("t_pos")).alias("pos"), F.col("t_head").alias("head")).unionByName(hd.where("jump is null")), hd, left=F.count("jump"))
     placed = cut(chained.join(hd.select("s", "v", "pos", "head"), ["s", "v"]))
     # A chain's labels in order. They are no longer than the path of its last node, which the result holds anyway.
     chains = placed.groupBy("s", "head").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "l"))), lambda x: x["l"]).alias("ids"))
@@ -86,12 +87,12 @@ def hierarchy(nodes: DataFrame, scope: str, node: str, parent: str, label: str)
     chains = cut(chains.join(heads, ["s", "head"]).join(over, ["s", "above"], "left").select("s", "head", "ids", "over", "over_pos"))
     found = chains.where("over is null").select("s", "head", F.lit("").alias("prefix"), "ids")
     rest, level = chains.where("over is not null"), found
-    chains_left = rest
     done = found.select("s", "head", "prefix", "ids")
-    while rest.limit(1).count():
+    rest = cut(rest)
+    while told(rest):
         up = level.select("s", F.col("head").alias("over"), F.col("prefix").alias("u_prefix"), F.col("ids").alias("u_ids"))
         nxt = cut(rest.join(up, ["s", "over"]).select("s", "head", F.concat("u_prefix", F.array_join(F.expr("slice(u_ids, 1, int(over_pos) + 1)"), "/"), F.lit("/")).alias("prefix"), "ids"))
-        rest = cut(rest.join(nxt.select("s", "head"), ["s", "head"], "left_anti"), *([] if rest is chains_left else [rest]))
+        rest = cut(rest.join(nxt.select("s", "head"), ["s", "head"], "left_anti"), rest)
         done, level = done.unionByName(nxt), nxt
     paths = placed.join(done, ["s", "head"]).join(base.select("s", F.col("v").alias("top"), F.col("l").alias("root_id")), ["s", "top"])
     out = paths.select(F.col("scope").alias(scope), F.col("v").alias(node), F.col("l").alias(label), "root_id", F.col("dist").cast("int").alias("depth"), F.concat("prefix", F.array_join(F.expr("slice(ids, 1, int(pos) + 1)"), "/")).alias("path"), (F.col("size") - 1).cast("int").alias("descendants"), F.lit("ok").alias("chain"))

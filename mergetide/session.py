@@ -8,7 +8,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: What a session of this engine starts with. A cluster's own settings win, as these are only applied by ``build``.
 DEFAULTS = {
@@ -48,26 +49,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 _TABLES: dict[str, SparkSession] = {}
 
 
-def cut(df: DataFrame, *stale: DataFrame) -> DataFrame:
+#: A table of more rows is never broadcast, however small its compressed files are: they say too little of its size in memory.
+BROADCAST_ROWS = 20_000
+
+
+def cut(df: DataFrame, *stale: DataFrame, **tally: Column) -> DataFrame:
     """df, written as a table to the shared checkpoint folder: later plans start from those files, and lost executors cost nothing but a read.
 
-    Written once and compressed, where a checkpoint computes its last stage twice and compresses nothing. ``stale``: earlier results of this function
-    that nothing needs any more; their files are removed. What is left goes when the driver ends.
+    Written once and compressed, where a checkpoint computes its last stage twice and compresses nothing. ``tally``: aggregates that are taken while the
+    rows are written, in place of another job over them; ``told`` gives them. ``stale``: earlier results of this function that nothing needs any more;
+    their files are removed. What is left goes when the driver ends. Joins of a table of more than BROADCAST_ROWS rows are merge joins.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     at = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(at)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in tally.items()]).write.option("compression", "zstd").parquet(at)
     _TABLES[at] = spark
     for x in stale:
         drop(x)
-    out = spark.read.schema(df.schema).parquet(at)
-    out._table = at
+    out, said = spark.read.schema(df.schema).parquet(at), seen.get
+    if said["rows"] > BROADCAST_ROWS:
+        out = out.hint("merge")
+    out._table, out._told = at, said
     # Shuffle files of finished steps go when the driver collects its garbage; left to itself it may keep them all until the end.
     spark._jvm.System.gc()
     return out
 
 
+def told(table: DataFrame, name: str = "rows") -> int:
+    """A count, or another aggregate, that ``cut`` took of the table."""
+    return table._told[name]
+
+
 def drop(df: DataFrame) -> None:
     """Removes the files of a result of ``cut``."""
     at = getattr(df, "_table", None)
