@@ -3,8 +3,9 @@
 Every record and every known person has keys: a date of birth with the start of a surname's code, a surname's code with a given name, a
 mailbox, a number of a mailbox, and so on. Two that share a key are joined by an edge, weighted by how rare the keys they share are among
 the known persons; edges much weaker than a record's best are pruned (meta-blocking). What is left is scored by how the values agree.
-Then neighbours count: records that share a rare attribute among themselves (deliveries of one account, a mailbox, a phone or
-security number) hand the identities they are sure of to each other, until nothing changes.
+Then neighbours count: records and known rows that share a rare attribute among themselves (deliveries of one account, a mailbox, a phone or
+security number) raise each other's scores: a pair of record and identity gains by how sure its neighbours are of that identity, and what becomes
+sure by that raises its own neighbours in turn, until no score changes any more.
 
 Accounts that are already correlated stand beside their identity as further accounts of what is known about the person.
 """
@@ -16,18 +17,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mergetide.llm.people import NAME_ONLY, VALUES, evidence, feed_people, identity_people, near_keys, reading, shared_keys, vocabulary
+from mergetide.llm.people import COMPARED, NAME_ONLY, VALUES, evidence, feed_people, identity_people, near_keys, reading, shared_keys, vocabulary
 from mergetide.llm.survivorship import correlated
 from mergetide.session import cut
+from mergetide.session import told as count
 from mergetide.sources import read_table
 
-#: A name alone (surname code and given name) names a person only if few known persons bear it: by a name that more bear no record can reach
-#: ACCEPT without a date or mailbox, and such records meet through the keys that join the name with those.
+#: A key of a name alone makes its pairs if at most so many known persons bear it. That loses none: such a pair is accepted by the name alone only where at
+#: most three bear it, else it needs a date of birth, a mailbox or its number, and then it also shares a key that joins the name with that. So this only
+#: saves work.
 RARE = 24
+#: A name that so many bear adds nothing to the weight of an edge, and one that fewer bear by how much fewer.
+PLAIN = 24
 #: Least score of a link, and how far the next identity must be behind.
 ACCEPT, MARGIN = 8.0, 1.5
 #: Edges lighter than this part of a record's heaviest are pruned.
 PRUNE = 0.3
+#: What a pair gains, at most, by a neighbour that is sure of its identity.
+NEIGHBOUR = 6.0
 SCORE = {
     "surname": {3: 4.0, 2: 3.0, 0: -2.0}, "given": {3: 2.0, 2: 1.5, 1: 1.0, 0: -5.0}, "born": {3: 6.0, 2: 3.0, 0: -5.0}, "number": {3: 4.0, 0: -4.0}, "box": {4: 8.0, 3: 2.0},
 }
@@ -42,37 +49,88 @@ def score(e: dict[str, Column], borne: Column) -> Column:
 def candidates(records: DataFrame, known: DataFrame) -> DataFrame:
     """(reading, alias, identity_id, borne): edges between readings of records and of known persons, pruned by weight.
 
-    Both have ``reading`` and the fields of read_people; what says the same is looked up once. By a name that more than RARE known persons bear
-    records meet only together with a date or mailbox; those names' bearers get keys of near dates too.
+    Both have ``reading`` and the fields of read_people; what says the same is looked up once. Bearers of a name that more than RARE known persons have
+    get keys of near dates too, in place of the pairs of the name alone. ``borne``: how many known persons bear the name that both share, null if
+    it is not told by a key.
     """
     def keyed(df: DataFrame, keys: Column, *ids: str) -> DataFrame:
-        return df.select(*ids, F.explode(keys).alias("x")).select(*ids, "x.*").distinct()
+        return df.select(*ids, F.explode(keys).alias("x")).select(*ids, F.col("x.t").isin(NAME_ONLY).alias("name"), "x.k")
 
-    kn, mine = keyed(known, shared_keys(), "alias", "identity_id"), keyed(records, shared_keys(), "reading")
-    n = F.lit(float(max(known.select("identity_id").distinct().count(), 1)))
-    df = cut(kn.groupBy("t", "k").agg(F.countDistinct("identity_id").alias("df")))
-    hot = F.broadcast(df.where((F.col("t") == "I") & (F.col("df") > RARE)).select("k")) if df.where((F.col("t") == "I") & (F.col("df") > RARE)).count() < 100_000 else df.where((F.col("t") == "I") & (F.col("df") > RARE)).select("k")
+    named = F.expr("flatten(transform(codes, x -> transform(initials, i -> xxhash64('I', x, i))))")
+    hot = cut(known.select("identity_id", F.explode(named).alias("k")).distinct().groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > RARE).select("k"))
 
-    def near(data: DataFrame, *ids: str) -> DataFrame:
-        initials = F.expr("flatten(transform(codes, x -> transform(initials, i -> xxhash64('I', x, i))))")
-        few = data.where("size(near) > 0").select(*ids, "codes", "initials", "near", F.explode(initials).alias("k")).join(hot, "k", "left_semi")
+    def near(df: DataFrame, *ids: str) -> DataFrame:
+        few = df.where("size(near) > 0").select(*ids, "codes", "initials", "near", F.explode(named).alias("k")).join(hot, "k", "left_semi")
         return keyed(few, near_keys(), *ids)
 
-    kn_hot, my_hot = near(known, "alias", "identity_id"), near(records, "reading")
-    use = df.where(~F.col("t").isin(NAME_ONLY) | (F.col("df") <= RARE)).unionByName(kn_hot.groupBy("t", "k").agg(F.countDistinct("identity_id").alias("df")))
-    weighed = kn.unionByName(kn_hot).join(use, ["t", "k"])
-    met = mine.unionByName(my_hot).join(weighed, ["t", "k"])
-    edges = met.groupBy("reading", "alias", "identity_id").agg(F.sum(F.log1p(n / F.col("df"))).alias("weight"), F.min(F.when(F.col("t").isin("N", "I"), F.col("df"))).cast("int").alias("borne"))
+    n = known.agg(F.greatest(F.count_distinct("identity_id"), F.lit(1)).alias("n")).first()["n"]
+    # All that follows by key needs one shuffle of either side.
+    kn = keyed(known, shared_keys(), "alias", "identity_id").unionByName(near(known, "alias", "identity_id")).repartition("k").distinct()
+    # How many known persons have a key: their number in its order, at its end. So the rows are sorted by key once, for this and for the join.
+    ranked = kn.withColumn("df", F.dense_rank().over(Window.partitionBy("k").orderBy("identity_id")))
+    kn = ranked.withColumn("df", F.max("df").over(Window.partitionBy("k")))
+    weight = F.when(F.col("name"), F.greatest(F.log(PLAIN / F.col("df")), F.lit(0.0))).otherwise(F.log1p(n / F.col("df")))
+    use = kn.where(~F.col("name") | (F.col("df") <= RARE)).select("k", "alias", "identity_id", weight.alias("w"), F.when(F.col("name"), F.col("df")).cast("int").alias("borne"))
+    mine = keyed(records, shared_keys(), "reading").unionByName(near(records, "reading")).select("k", "reading").repartition("k").distinct()
+    edges = mine.join(use, "k").groupBy("reading", "alias", "identity_id").agg(F.sum("w").alias("weight"), F.min("borne").alias("borne"))
     best = F.max("weight").over(Window.partitionBy("reading"))
-    return edges.withColumn("best", best).where(F.col("weight") >= PRUNE * F.col("best")).select("reading", "alias", "identity_id", F.coalesce("borne", F.lit(RARE + 1)).alias("borne"))
+    return edges.withColumn("best", best).where(F.col("weight") >= PRUNE * F.col("best")).select("reading", "alias", "identity_id", "borne")
 
 
 def best_of(scored: DataFrame) -> DataFrame:
     """(key, identity_id, score): a record's best identity, if it is good enough and well ahead of the next."""
-    per = scored.groupBy("key", "identity_id").agg(F.max("score").alias("score"))
-    top = per.groupBy("key").agg(F.max(F.struct("score", "identity_id")).alias("t"), F.collect_list("score").alias("all"))
-    behind = F.coalesce(F.get(F.sort_array("all", asc=False), F.lit(1)), F.lit(-99.0))
-    return top.where((F.col("t.score") >= ACCEPT) & (F.col("t.score") - behind >= MARGIN)).select("key", "t.identity_id", "t.score")
+    per = scored.repartition("key").groupBy("key", "identity_id").agg(F.max("score").alias("score"))
+    w = Window.partitionBy("key").orderBy(F.desc("score"), F.desc("identity_id"))
+    top = per.withColumn("n", F.row_number().over(w)).withColumn("behind", F.coalesce(F.lead("score").over(w), F.lit(-99.0)))
+    return top.where((F.col("n") == 1) & (F.col("score") >= ACCEPT) & (F.col("score") - F.col("behind") >= MARGIN)).select("key", "identity_id", "score")
+
+
+def sureness(score: Column) -> Column:
+    """0 to 1, rising with the score."""
+    return 1 / (1 + F.exp(-(score - ACCEPT + 2) / 2))
+
+
+def raised(sure: DataFrame, scored: DataFrame, records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
+    """(key, identity_id, score): ``sure``, and what the neighbours' scores raise to that until no score changes.
+
+    A tie that several share supports an identity by the greatest sureness among its members, if all those that are sure of one mean the same. In every
+    round a pair of an open record and an identity that one of its ties supports gains NEIGHBOUR times that sureness on top of its own score, which is that of
+    its values, whether or not an edge had brought the two together; what is good enough then supports its own ties. An identity that is once sure
+    stays, and there are finitely many, so this ends; each round only goes through what the round before changed.
+    """
+    tied = lambda df, *ids: df.select(*ids, F.explode(F.filter(F.array(*[F.when(F.col(t).isNotNull(), F.xxhash64(F.lit(t), t)) for t in ties]), lambda x: x.isNotNull())).alias("tie"))
+    mine = tied(records.join(sure.select("key", "identity_id", "score"), "key", "left").withColumn("conf", sureness(F.col("score"))), "key", "identity_id", "conf")
+    mine = cut(mine.distinct())
+    fixed = tied(known.withColumn("conf", F.lit(1.0)), "identity_id", "conf")
+    both = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("conf").alias("conf")]
+    said = mine.where("identity_id is not null").select("tie", "identity_id", "conf").unionByName(fixed.select("tie", "identity_id", "conf"))
+    open_ = cut(mine.where("identity_id is null").select("key", "tie"))
+    told = said.select("tie", F.col("identity_id").alias("lo"), F.col("identity_id").alias("hi"), "conf").groupBy("tie").agg(*both)
+    told = cut(told.join(open_.select("tie").distinct(), "tie", "left_semi"))
+    left = cut(records.join(open_.select("key").distinct(), "key", "left_semi").select("key", F.struct(*COMPARED).alias("a")).groupBy("key").agg(F.first("a").alias("a")))
+    own = cut(scored.join(left.select("key"), "key", "left_semi").groupBy("key", "identity_id").agg(F.max("score").alias("score")))
+    about = known.select("identity_id", F.struct(*COMPARED).alias("b"))
+    out, fresh, e = sure, told, evidence()
+    while True:
+        heard = open_.join(fresh.where("lo = hi").select("tie", F.col("lo").alias("identity_id"), "conf"), "tie").groupBy("key", "identity_id").agg(F.max("conf").alias("conf"))
+        heard = heard.join(out.select("key"), "key", "left_anti")
+        met = heard.join(left, "key").join(about.join(heard.select("identity_id").distinct(), "identity_id", "left_semi"), "identity_id")
+        apart = met.groupBy("key", "identity_id", "conf").agg(*[F.max(e[n]).alias(n) for n in ("surname", "given", "born", "number")])
+        # Nothing that a neighbour says outweighs a plain contradiction in every alias of the identity.
+        fits = apart.where("coalesce(given, 1) > 0 and (surname > 0 or coalesce(born, 0) > 0) and coalesce(number, 1) > 0 and coalesce(born, 1) > 0")
+        part = lambda n: reduce(lambda w, kv: w.when(F.col(n) == kv[0], kv[1]), SCORE[n].items(), F.when(F.col(n).isNull(), 0.0)).otherwise(0.0)
+        scores = fits.withColumn("base", part("surname") + part("given") + part("born") + part("number")).join(own.withColumnRenamed("score", "edge"), ["key", "identity_id"], "left")
+        gain = scores.select("key", "identity_id", (F.greatest("base", F.coalesce("edge", F.lit(0.0))) + NEIGHBOUR * F.col("conf")).alias("score"))
+        gain = cut(gain)
+        rest = own.join(gain.select("key").distinct(), "key", "left_semi").select("key", "identity_id", "score")
+        new = cut(best_of(gain.unionByName(rest)))
+        if not count(new):
+            return out
+        out = cut(out.unionByName(new), *([out] if out is not sure else []))
+        more = open_.join(new.withColumn("conf", sureness(F.col("score"))), "key").select("tie", F.col("identity_id").alias("lo"), F.col("identity_id").alias("hi"), "conf")
+        touched = more.select("tie").distinct()
+        told = cut(told.unionByName(more).groupBy("tie").agg(*both), told)
+        fresh = told.join(touched, "tie", "left_semi")
 
 
 def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
@@ -82,39 +140,15 @@ def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
     share; ``known``: alias, identity_id, reading, the fields of read_people, and ties (null where there is none). Records with a null key are left
     out; records that say nothing get no link; a repeated key is one record; empty tables give no links. confidence: 0 to 1, rising with the score.
     """
-    records = records.where("key is not null")
+    records = records.where("key is not null").select("key", "reading", *VALUES, *ties)
     known = known.withColumn("alias", F.xxhash64("identity_id", "reading"))
     edges = cut(candidates(records, known))
-    said = lambda df, key, at: df.select(key, F.struct(*VALUES).alias(at)).groupBy(key).agg(F.first(at).alias(at))
-    a = said(records.join(edges.select("reading").distinct(), "reading", "left_semi"), "reading", "a")
-    b = said(known.join(edges.select("alias").distinct(), "alias", "left_semi"), "alias", "b")
-    scored = edges.join(a, "reading").join(b, "alias").withColumn("score", score(evidence(), F.col("borne"))).select(F.col("reading").alias("key"), "identity_id", "score").where("score > 0")
-    found = best_of(scored).select(F.col("key").alias("reading"), "identity_id", "score")
-    sure = cut(records.select("key", "reading").join(found, "reading").groupBy("key").agg(F.max(F.struct("score", "identity_id")).alias("t")).select("key", "t.identity_id", "t.score"))
-    # Neighbours: records, and accounts already correlated, that share a tie. A tie says an identity if all its members that have one have the same.
-    # Aggregated by tie, so that a tie that many share makes no pairs.
-    tied = lambda df, *ids: df.select(*ids, F.explode(F.filter(F.array(*[F.when(F.col(t).isNotNull(), F.xxhash64(F.lit(t), t)) for t in ties]), lambda x: x.isNotNull())).alias("tie"))
-    mine = cut(tied(records, "key").distinct())
-    fixed = cut(tied(known, "identity_id").groupBy("tie").agg(F.min("identity_id").alias("lo"), F.max("identity_id").alias("hi")))
-    got, before = sure.select("key", "identity_id"), 0
-    # Every round but the last adds records, so this ends by itself.
-    while True:
-        told = mine.join(got, "key").groupBy("tie").agg(F.min("identity_id").alias("lo"), F.max("identity_id").alias("hi")).unionByName(fixed)
-        told = told.groupBy("tie").agg(F.min("lo").alias("identity_id"), F.max("hi").alias("hi")).where("identity_id = hi").select("tie", "identity_id")
-        heard = mine.join(got, "key", "left_anti").join(told, "tie").groupBy("key").agg(F.min("identity_id").alias("identity_id"), F.max("identity_id").alias("hi")).where("identity_id = hi").drop("hi")
-        got = cut(got.unionByName(heard), *([got] if before else []))
-        now = got.count()
-        if now == before:
-            break
-        before = now
-    # What neighbours handed on must not contradict the identity's name, birth and number.
-    new = cut(got.join(sure.select("key"), "key", "left_anti"))
-    of = said(records.join(new, "key", "left_semi"), "key", "a")
-    about = known.join(new.select("identity_id").distinct(), "identity_id", "left_semi").select("identity_id", F.struct(*VALUES).alias("b"))
-    e = evidence()
-    fits = new.join(of, "key").join(about, "identity_id").groupBy("key", "identity_id").agg(*[F.max(e[n]).alias(n) for n in ("surname", "given", "born", "number")])
-    fits = fits.where("coalesce(given, 1) > 0 and (surname > 0 or coalesce(born, 0) > 0) and coalesce(number, 1) > 0 and coalesce(born, 1) > 0").select("key", "identity_id", F.lit(ACCEPT + 2.0).alias("score"))
-    return sure.unionByName(fits).select("key", "identity_id", (1 / (1 + F.exp(-(F.col("score") - ACCEPT + 2) / 2))).alias("confidence"))
+    b = known.join(edges.select("alias").distinct(), "alias", "left_semi").select("alias", F.struct(*COMPARED).alias("b")).groupBy("alias").agg(F.first("b").alias("b"))
+    a = records.select("key", "reading", F.struct(*COMPARED).alias("a"))
+    scored = edges.join(a, "reading").join(b, "alias").withColumn("score", score(evidence(), F.coalesce("borne", F.lit(RARE + 1)))).select("key", "identity_id", "score").where("score > 0")
+    scored = cut(scored)
+    sure = cut(best_of(scored))
+    return raised(sure, scored, records, known, ties).select("key", "identity_id", sureness(F.col("score")).alias("confidence"))
 
 
 def _digits(c: str, n: int) -> Column:

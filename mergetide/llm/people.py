@@ -260,8 +260,8 @@ def _hash(text: str) -> int:
 
 @lru_cache(1 << 16)
 def _when(dates: tuple[str, ...]) -> tuple[list[int], list[int]]:
-    """The dates as day numbers, and the hashes of near_dates."""
-    return [date.fromisoformat(d).toordinal() for d in dates], [_hash(x) for x in near_dates(list(dates))]
+    """The dates as numbers yyyymmdd, and the hashes of near_dates."""
+    return [int(d.replace("-", "")) for d in dates], [_hash(x) for x in near_dates(list(dates))]
 
 
 def _compact(p: dict) -> dict:
@@ -325,13 +325,14 @@ def identity_people(identities: DataFrame, known: frozenset[str] = frozenset())
 
 def shared_keys() -> Column:
     """array<struct<t, k>>: keys that rows of one person share, of the kinds D (date of birth and start of a surname's code), N (code and given name),
-    I (code and initial), M (start of a code and number of a mailbox), G (date and given name), B (a mailbox with a number or of no name), E (another)."""
+    I (code and initial), M (start of a code and number of a mailbox), G (date and given name), B (a mailbox with a number or of no name), E (another
+    mailbox with code and initial, or with a date, as without these it can't carry a pair)."""
     cross = lambda t, x, y: f"transform(flatten(transform({x}, x -> transform({y}, y -> xxhash64('{t}', x, y)))), k -> named_struct('t', '{t}', 'k', k))"
     none = "cast(array() as array<struct<t:string,k:bigint>>)"
-    box = "if(num = '', 'E', 'B')"
+    boxed = f"concat({cross('E', 'transform(codes, x -> xxhash64(box, x))', 'initials')}, {cross('E', 'array(xxhash64(box))', 'dates')})"
     return F.expr(
         f"concat({cross('D', 'heads', 'dates')}, {cross('N', 'codes', 'given')}, {cross('I', 'codes', 'initials')}, {cross('G', 'dates', 'given')}, "
-        f"if(num <> '', transform(heads, x -> named_struct('t', 'M', 'k', xxhash64('M', num, x))), {none}), if(box is not null, array(named_struct('t', {box}, 'k', xxhash64('E', box))), {none}))"
+        f"if(num <> '', transform(heads, x -> named_struct('t', 'M', 'k', xxhash64('M', num, x))), {none}), case when box is null then {none} when num = '' then {boxed} else array(named_struct('t', 'B', 'k', xxhash64('B', box))) end)"
     )
 
 
@@ -346,7 +347,32 @@ def reading() -> Column:
 
 
 #: Kinds of keys that only say a name.
-NAME_ONLY = ["N", "I", "E"]
+NAME_ONLY = ["N", "I"]
+
+
+#: What of the values is needed to compare two people; the rest only makes keys.
+COMPARED = ["last", "first", "short", "num", "box", "forms", "codes", "given", "initials", "dates"]
+
+
+def near_sql(x: str, y: str) -> str:
+    """SQL of whether two dates yyyymmdd differ in one part as near_dates means it."""
+    year = "({0} div 10000)".format
+    other = f"{x} % 100 = ({y} div 100) % 100 and ({x} div 100) % 100 = {y} % 100"
+    same_year = f"{year(x)} = {year(y)} and ({x} div 100 = {y} div 100 or {x} % 100 = {y} % 100 or ({other}))"
+    same_day = f"{x} % 10000 = {y} % 10000 and ({x} div 100000 = {y} div 100000 or {year(x)} % 10 = {year(y)} % 10 or abs({year(x)} - {year(y)}) <= 1)"
+    return f"(({same_year}) or ({same_day}))"
+
+
+def packed_dates() -> Column:
+    """The dates of a reading, two at most, as one number; 0 for none."""
+    return F.expr("bigint(coalesce(get(dates, 0), 0)) + shiftleft(bigint(coalesce(get(dates, 1), 0)), 32)")
+
+
+def agreeing_dates(x: str, y: str) -> Column:
+    """Whether two packed_dates have near dates, or one has none."""
+    parts = lambda c: [f"int({c} & 4294967295)", f"int(shiftright({c}, 32))"]
+    either = " or ".join(f"({p} <> 0 and {q} <> 0 and {near_sql(p, q)})" for p in parts(x) for q in parts(y))
+    return F.expr(f"{x} = 0 or {y} = 0 or {either}")
 
 
 def overlap(a: str, b: str) -> Column:
@@ -368,7 +394,7 @@ def evidence(a: str = "a", b: str = "b") -> dict[str, Column]:
     fe = F.levenshtein(x(a, "first"), x(b, "first"))
     fs = F.least(F.length(x(a, "first")), F.length(x(b, "first")))
     given = F.when(none("initials"), None).when(x(a, "short") | x(b, "short"), F.when(overlap(c(a, "initials"), c(b, "initials")), 1).otherwise(0)).when(overlap(c(a, "given"), c(b, "given")), 3).when((fe <= F.when(fs >= 7, 3).otherwise(2)) & (fs >= 4), 2).otherwise(0)
-    born = F.when(none("dates"), None).when(overlap(c(a, "dates"), c(b, "dates")), 3).when(overlap(c(a, "near"), c(b, "near")), 2).otherwise(0)
+    born = F.when(none("dates"), None).when(overlap(c(a, "dates"), c(b, "dates")), 3).when(F.expr(f"exists({a}.dates, x -> exists({b}.dates, y -> {near_sql('x', 'y')}))"), 2).otherwise(0)
     number = F.when(x(a, "num").isNull() | x(b, "num").isNull() | ((x(a, "num") == "") & (x(b, "num") == "")), None).when(x(a, "num") == x(b, "num"), 3).otherwise(0)
     box = F.when(x(a, "box") == x(b, "box"), F.when(x(a, "num").isNull() & x(b, "num").isNull(), 4).otherwise(3))
     return {"surname": surname, "given": given, "born": born, "number": number, "box": box}

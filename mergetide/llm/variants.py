@@ -8,19 +8,19 @@ rare name link by the name alone becomes a star.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mergetide.functions.similarity import jaro_winkler, pairwise
 from mergetide.llm.linkage import score
-from mergetide.llm.people import NAME_ONLY, VALUES, evidence, feed_people, near_keys, read_people, reading, shared_keys, vocabulary
+from mergetide.llm.people import COMPARED, NAME_ONLY, VALUES, agreeing_dates, evidence, feed_people, near_keys, packed_dates, read_people, reading, shared_keys, vocabulary
 from mergetide.llm.survivorship import correlated
 from mergetide.operators.components import components
-from mergetide.session import cut
+from mergetide.session import BROADCAST_ROWS, cut, told
 from mergetide.sources import read_table
 
-#: A key of a name alone makes all its pairs if at most so many different readings share it. Beyond that its pairs are found in other ways (near dates,
-#: ``alike`` and ``boxed``), which give the same clusters without making them all.
+#: A key of a name alone makes all its pairs if at most so many different readings share it. Beyond that its pairs are found in other ways (near dates
+#: and ``alike``), which give the same clusters without making them all.
 COMMON = 60
 #: The most births of a name that the score still counts for something.
 RARE_BIRTHS = 3
@@ -42,17 +42,6 @@ def alike(use: DataFrame, said: DataFrame) -> DataFrame:
     return stars.where("other is not null and reading <> other").distinct()
 
 
-def boxed(use: DataFrame, said: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(keys, pairs) in place of the pairs of a mailbox without a number that many share: keys (t, k, reading) of it with near dates, as two with dates need
-    those to agree; pairs (reading, other) by surname's code and initial, which a pair without two dates needs to reach ACCEPT."""
-    hot = use.where((F.col("t") == "E") & (F.col("df") > COMMON)).select("reading").distinct()
-    x = said.join(hot, "reading", "left_semi").select("reading", "a.*")
-    keys = x.select(F.lit("EC").alias("t"), F.explode(F.expr("transform(near, z -> xxhash64('EC', box, z))")).alias("k"), "reading")
-    named = x.select("reading", (F.size("dates") == 0).alias("undated"), F.explode(F.expr("flatten(transform(codes, x -> transform(initials, y -> xxhash64('E', box, x, y))))")).alias("k"))
-    pairs = named.where("undated").select("k", "reading").join(named.select("k", F.col("reading").alias("other")), "k").where("reading <> other")
-    return keys, pairs.select(F.least("reading", "other").alias("reading"), F.greatest("reading", "other").alias("other")).distinct()
-
-
 def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     """(key, component) of people that are one person.
 
@@ -63,28 +52,32 @@ def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     # A reading with neither date nor mailbox names no person by itself: such copies are not taken as one.
     bare = (F.size("dates") == 0) & F.col("box").isNull()
     people = people.withColumn("reading", F.when(bare, F.xxhash64("key", "reading")).otherwise(F.col("reading")))
-    spread = people.select("reading", F.get("dates", F.lit(0)).alias("born"), F.explode(shared_keys()).alias("x")).select("reading", "born", "x.*")
-    keyed = spread.repartition("t", "k").distinct()
-    # How many bear a name is told by the different dates of birth that come with it.
-    df = keyed.groupBy("t", "k").agg(F.count("*").alias("df"), F.countDistinct("born").alias("births")).where("df > 1")
-    use = cut(keyed.join(df, ["t", "k"]).select("t", "k", "reading", "df", "births"))
+    spread = people.select("reading", packed_dates().alias("born"), F.explode(shared_keys()).alias("x")).select("reading", "born", "x.*")
+    keyed = spread.repartition("k").distinct()
+    # How many share a key, and how many different dates of birth come with it, which tells how many bear a name: numbers in the order of the dates, so
+    # that the rows of a key are sorted once, where they are.
+    by = Window.partitionBy("k")
+    first = F.expr("nullif(born & 4294967295, 0)")
+    ranked = keyed.withColumn("rank", F.dense_rank().over(by.orderBy(first.asc_nulls_last())))
+    ranked = ranked.withColumn("df", F.count("*").over(by)).withColumn("births", F.coalesce(F.max(F.when(first.isNotNull(), F.col("rank"))).over(by), F.lit(0)))
+    use = cut(ranked.where("df > 1").select("t", "k", "reading", "born", "df", "births"))
     name_only = F.col("t").isin(NAME_ONLY)
     hot = use.where((F.col("t") == "I") & (F.col("df") > COMMON)).select("reading").distinct()
-    more = people.where("size(near) > 0").join(hot, "reading", "left_semi").select("reading", F.explode(near_keys()).alias("x")).select("x.t", "x.k", "reading", F.lit(None).cast("long").alias("births")).distinct()
-    said = people.groupBy("reading").agg(F.first(F.struct(*VALUES)).alias("a"))
-    keys, undated = boxed(use, said)
-    x = use.where(~name_only | (F.col("df") <= COMMON)).select("t", "k", "reading", "births").unionByName(more).unionByName(keys.withColumn("births", F.lit(None).cast("long")))
-    y = x.select("t", "k", F.col("reading").alias("other"))
-    pairs = x.join(y, ["t", "k"]).where("reading < other").select("reading", "other", F.when(F.col("t").isin("N", "I"), F.col("births")).alias("births"))
-    pairs = pairs.unionByName(undated.withColumn("births", F.lit(None).cast("long")))
+    more = people.where("size(near) > 0").join(hot, "reading", "left_semi").select("reading", packed_dates().alias("born"), F.explode(near_keys()).alias("x")).select("x.t", "x.k", "reading", "born", F.lit(None).cast("int").alias("births")).distinct()
+    said = people.groupBy("reading").agg(F.first(F.struct(*COMPARED)).alias("a"))
+    x = use.where(~name_only | (F.col("df") <= COMMON)).select("t", "k", "reading", "born", "births").unionByName(more)
+    y = x.select("k", F.col("reading").alias("other"), F.col("born").alias("other_born"))
+    # Two with dates of birth that aren't near are two people, whatever else agrees.
+    pairs = x.join(y, "k").where((F.col("reading") < F.col("other")) & agreeing_dates("born", "other_born")).select("reading", "other", F.when(F.col("t").isin("N", "I"), F.col("births")).alias("births"))
     # Keys of rare names that make no pairs by themselves still say how few bear the name.
     stars = cut(alike(use, said))
-    few = use.where(F.col("t").isin("N", "I") & (F.col("df") > COMMON) & (F.col("births") <= RARE_BIRTHS)).groupBy("reading").agg(F.collect_list(F.struct("k", "births")).alias("few"))
-    few = cut(few)
-    met = pairs.groupBy("reading", "other").agg(F.min("births").cast("int").alias("borne"))
+    few = cut(use.where(F.col("t").isin("N", "I") & (F.col("df") > COMMON) & (F.col("births") <= RARE_BIRTHS)).groupBy("reading").agg(F.collect_list(F.struct("k", "births")).alias("few")))
+    if told(few) <= BROADCAST_ROWS:
+        few = F.broadcast(few)
+    met = pairs.repartition("reading").groupBy("reading", "other").agg(F.min("births").cast("int").alias("borne"))
     met = met.join(few, "reading", "left").join(few.select(F.col("reading").alias("other"), F.col("few").alias("fewb")), "other", "left")
     shared = F.expr("array_min(transform(filter(few, x -> exists(fewb, y -> y.k = x.k)), x -> x.births))").cast("int")
-    met = cut(met.select("reading", "other", F.least("borne", shared).alias("borne")), use)
+    met = met.select("reading", "other", F.least("borne", shared).alias("borne"))
     e = evidence()
     pairs = met.join(said, "reading").join(said.select(F.col("reading").alias("other"), F.col("a").alias("b")), "other").where((F.coalesce(e["born"], F.lit(1)) > 0) & (F.coalesce(e["number"], F.lit(1)) > 0))
     # Jaro-Winkler is asked where neither table nor code links the names; it gives null for null.
