@@ -201,27 +201,36 @@ def near_dates(dates: list[str]) -> list[str]:
     return sorted(out)
 
 
+_FILLERS, _LETTER, _JOINTS = frozenset(FILLERS), re.compile("[a-z]"), str.maketrans("_-", "..")
+
+
+def _of_name(glued: str, names: list[str]) -> bool:
+    """Whether a mailbox holds a name of four letters or more, or four letters in a row of one."""
+    long = [w for w in names if len(w) >= 4]
+    return any(w in glued for w in long) or any(w[i : i + 4] in glued for w in long for i in range(len(w) - 3))
+
+
 def read_email(text: str | None, first: list[str], last: list[str]) -> tuple[str | None, str | None]:
     """(mailbox with its parts in order, number at its end): the number is null unless the mailbox is made from the person's name."""
     t = (text or "").lower().strip(" \t\r\n;,\u200b\ufeff\xa0").removeprefix("mailto:").strip()
     local = t.partition("@")[0].partition("+")[0]
-    if len(local) < 4 or local in FILLERS or t in FILLERS or not any("a" <= c <= "z" for c in local):
+    if len(local) < 4 or local in _FILLERS or t in _FILLERS or not _LETTER.search(local):
         return None, None
     letters = local.rstrip("0123456789")
     digits = local[len(letters) :]
-    parts = sorted(fold(p) for p in letters.replace("_", ".").replace("-", ".").split(".") if p)
-    glued = "".join(parts)
-    long = [w for w in [*last, *first] if len(w) >= 4]
-    own = any(w[i : i + 4] in glued for w in long for i in range(len(w) - 3))
-    return ".".join(parts) + digits, digits if own else None
+    parts = sorted([fold(p) for p in letters.translate(_JOINTS).split(".") if p])
+    return ".".join(parts) + digits, digits if _of_name("".join(parts), last + first) else None
 
 
 def _mail_names(box: str, digits: str, surname: str, given: list[str]) -> tuple[list[str], list[str]]:
     """(spellings of the surname, given names) that a mailbox shows: those close to the typed ones."""
-    parts = box[: len(box) - len(digits)].split(".")
+    letters = box[: len(box) - len(digits)]
+    parts = letters.split(".")
     spelt = [p for p in parts if len(p) >= 5]
     if len(parts) == 1:
-        spelt += [box[1 : len(box) - len(digits)]] + [parts[0][len(g) :] for g in given if parts[0].startswith(g)] + [parts[0][: -len(g)] for g in given if parts[0].endswith(g)]
+        spelt += [letters[1:]] + [letters[len(g) :] for g in given if letters.startswith(g)] + [letters[: -len(g)] for g in given if letters.endswith(g)]
+    if not spelt or spelt == [surname]:
+        return [], parts
     near = dict.fromkeys(w for w in spelt if len(w) >= 5 and w != surname and (w[:2] == surname[:2] or w[-3:] == surname[-3:]))
     return [w for w in near if _within(w, surname, 3)], parts
 
@@ -264,11 +273,22 @@ def _when(dates: tuple[str, ...]) -> tuple[list[int], list[int]]:
     return [int(d.replace("-", "")) for d in dates], [_hash(x) for x in near_dates(list(dates))]
 
 
+@lru_cache(1 << 16)
+def _hashes(texts: tuple[str, ...]) -> list[int]:
+    return [_hash(x) for x in texts]
+
+
+@lru_cache(1 << 16)
+def _heads(codes: tuple[str, ...]) -> list[int]:
+    """The hashes of the first two signs of codes."""
+    return [_hash(x) for x in sorted({c[:2] for c in codes})]
+
+
 def _compact(p: dict) -> dict:
-    p["heads"] = sorted({c[:2] for c in p["codes"]})
+    p["heads"] = _heads(tuple(p["codes"]))
     p["dates"], p["near"] = _when(tuple(p["dates"]))
-    for k in ("forms", "codes", "heads", "given", "initials"):
-        p[k] = [_hash(x) for x in p[k]]
+    for k in ("forms", "codes", "given", "initials"):
+        p[k] = _hashes(tuple(p[k]))
     return p
 
 

@@ -28,15 +28,17 @@ RARE_BIRTHS = 3
 ACCEPT, LIKE_SURNAME, LIKE_GIVEN = 8.0, 0.9, 0.88
 
 
-def alike(use: DataFrame, said: DataFrame) -> DataFrame:
+def alike(use: DataFrame, people: DataFrame) -> DataFrame:
     """(reading, other): stars in place of the pairs that many bearers of a rare full name make by the name alone.
 
     That takes the same form of the surname, one given name and no second birth (4 + 2 + 2 in the score), so all that share these belong together, unless
     the numbers of their mailboxes differ. A reading without mailbox of its name contradicts none and is joined to all; the mailboxes without a number
     agree among themselves; those with the same number meet by it.
     """
-    rare = use.where((F.col("t") == "N") & (F.col("df") > COMMON) & (F.col("births") <= 1)).select("k", "reading")
-    same = rare.join(said, "reading").select("k", "reading", "a.num", "a.given", F.explode("a.forms").alias("form")).select("k", "reading", "num", "form", F.explode("given").alias("name"))
+    rare = cut(use.where((F.col("t") == "N") & (F.col("df") > COMMON) & (F.col("births") <= 1)).select("k", "reading"))
+    if told(rare) <= BROADCAST_ROWS:
+        rare = F.broadcast(rare)
+    same = rare.join(people, "reading").select("k", "reading", "num", "given", F.explode("forms").alias("form")).select("k", "reading", "num", "form", F.explode("given").alias("name"))
     least = same.groupBy("k", "form", "name").agg(F.min(F.when(F.col("num").isNull(), F.col("reading"))).alias("any"), F.min(F.when(F.col("num") == "", F.col("reading"))).alias("blank"))
     stars = same.join(least, ["k", "form", "name"]).select("reading", F.explode(F.array("any", F.when(F.col("num") == "", F.col("blank")))).alias("other"))
     return stars.where("other is not null and reading <> other").distinct()
@@ -63,14 +65,15 @@ def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     use = cut(ranked.where("df > 1").select("t", "k", "reading", "born", "df", "births"))
     name_only = F.col("t").isin(NAME_ONLY)
     hot = use.where((F.col("t") == "I") & (F.col("df") > COMMON)).select("reading").distinct()
-    more = people.where("size(near) > 0").join(hot, "reading", "left_semi").select("reading", packed_dates().alias("born"), F.explode(near_keys()).alias("x")).select("x.t", "x.k", "reading", "born", F.lit(None).cast("int").alias("births")).distinct()
+    more = people.where("size(near) > 0").join(hot, "reading", "left_semi").select("reading", packed_dates().alias("born"), F.explode(near_keys()).alias("x")).select("x.k", "reading", "born", F.lit(None).cast("int").alias("births"))
     said = people.groupBy("reading").agg(F.first(F.struct(*COMPARED)).alias("a"))
-    x = use.where(~name_only | (F.col("df") <= COMMON)).select("t", "k", "reading", "born", "births").unionByName(more)
-    y = x.select("k", F.col("reading").alias("other"), F.col("born").alias("other_born"))
+    x = use.where(~name_only | (F.col("df") <= COMMON)).select("k", "reading", "born", F.when(name_only, F.col("births")).alias("births")).unionByName(more)
+    # Both sides have the same columns, so that one shuffle serves both.
+    y = x.select("k", F.col("reading").alias("other"), F.col("born").alias("other_born"), F.col("births").alias("other_births"))
     # Two with dates of birth that aren't near are two people, whatever else agrees.
-    pairs = x.join(y, "k").where((F.col("reading") < F.col("other")) & agreeing_dates("born", "other_born")).select("reading", "other", F.when(F.col("t").isin("N", "I"), F.col("births")).alias("births"))
+    pairs = x.join(y, "k").where((F.col("reading") < F.col("other")) & agreeing_dates("born", "other_born")).select("reading", "other", F.least("births", "other_births").alias("births"))
     # Keys of rare names that make no pairs by themselves still say how few bear the name.
-    stars = cut(alike(use, said))
+    stars = cut(alike(use, people))
     few = cut(use.where(F.col("t").isin("N", "I") & (F.col("df") > COMMON) & (F.col("births") <= RARE_BIRTHS)).groupBy("reading").agg(F.collect_list(F.struct("k", "births")).alias("few")))
     if told(few) <= BROADCAST_ROWS:
         few = F.broadcast(few)
@@ -83,10 +86,14 @@ def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     # Jaro-Winkler is asked where neither table nor code links the names; it gives null for null.
     jw = pairwise(jaro_winkler)
     ask_s, ask_g = e["surname"] == 0, (e["given"] == 0) & ~F.col("a.short") & ~F.col("b.short")
+    # Only pairs that it could bring over the bar go to it.
+    best = e | {"surname": F.when(ask_s, 2).otherwise(e["surname"]), "given": F.when(ask_g, 2).otherwise(e["given"])}
+    borne = F.coalesce(F.col("borne"), F.lit(COMMON))
+    pairs = pairs.where(score(best, borne) >= ACCEPT)
     pairs = pairs.withColumn("js", jw(F.when(ask_s, F.col("a.last")), F.when(ask_s, F.col("b.last")))).withColumn("jg", jw(F.when(ask_g, F.col("a.first")), F.when(ask_g, F.col("b.first"))))
     e["surname"] = F.when(F.col("js") >= LIKE_SURNAME, 2).otherwise(e["surname"])
     e["given"] = F.when(F.col("jg") >= LIKE_GIVEN, 2).otherwise(e["given"])
-    linked = pairs.where((score(e, F.coalesce(F.col("borne"), F.lit(COMMON))) >= ACCEPT) & (e["surname"] + F.coalesce(e["given"], F.lit(0)) > 0)).select("reading", "other").unionByName(stars)
+    linked = pairs.where((score(e, borne) >= ACCEPT) & (e["surname"] + F.coalesce(e["given"], F.lit(0)) > 0)).select("reading", "other").unionByName(stars)
     # Nodes of the graph are readings and what is surely one person; an anchor that a single reading has joins nothing.
     tied = sure.join(people.select("key", "reading"), "key").select("reading", F.col("anchor").alias("other")).distinct()
     many = tied.groupBy("other").agg(F.count("*").alias("n")).where("n > 1").select("other")
