@@ -79,23 +79,33 @@ def bigrams(c: Column) -> Column:
     return F.when(F.length(c) >= 2, F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
 
 
+def bigram_codes(c: Column) -> Column:
+    """array of whole numbers, all different: the bigrams of a text by their characters and by how often they stood before; to compare a text with many."""
+    at = lambda i: F.ascii(F.substring(c, i, F.lit(1))).cast("long")
+    codes = F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.shiftleft(at(i), 40) + F.shiftleft(at(i + 1), 16))
+    numbered = lambda x: F.transform(x, lambda g, i: g + F.size(F.filter(F.slice(x, F.lit(1), i), lambda h: h == g)))
+    return F.when(F.length(c) >= 2, numbered(codes)).otherwise(F.array().cast("array<bigint>"))
+
+
+def dice_of_codes(x: Column, y: Column, a: Column, b: Column) -> Column:
+    """dice_score of two texts a and b whose bigram_codes are x and y: one intersection, compiled."""
+    ratio = F.size(F.array_intersect(x, y)) * 2 / (F.size(x) + F.size(y))
+    return F.when((a == "") & (b == ""), 0).when(a == b, 100).when((F.size(x) == 0) | (F.size(y) == 0), 0).otherwise(F.floor(ratio * 100 + 0.5)).cast("int")
+
+
 def dice_score(a: Column, b: Column) -> Column:
     """Whole percentage of the bigrams that two texts share, repeated ones counted: 100 for equal texts, 0 if both are empty or one has fewer than two
     characters. Built of Spark's own array functions."""
-    x, y = bigrams(a), bigrams(b)
-    count = lambda arr, g: F.size(F.filter(arr, lambda h: h == g))
-    both = F.aggregate(F.array_intersect(x, y), F.lit(0), lambda s, g: s + F.least(count(x, g), count(y, g)))
-    ratio = both * 2 / (F.size(x) + F.size(y))
-    return F.when((a == "") & (b == ""), 0).when(a == b, 100).when((F.length(a) < 2) | (F.length(b) < 2), 0).otherwise(F.floor(ratio * 100 + 0.5)).cast("int")
+    return dice_of_codes(bigram_codes(a), bigram_codes(b), a, b)
 
 
-def lig3(a: str, b: str) -> float:
-    """0.7 edits + 0.2 tokens + 0.1 prefix, at most 1, of texts in plain_text form. Not symmetric in its token part: the account's text comes first.
+def lig3_percent(a: str, b: str) -> float:
+    """0.7 edits + 0.2 tokens + 0.1 prefix, each from 0 to 100 and at most 100 together, of texts in plain_text form. Not symmetric in its token part: the account's text comes first.
 
     Edits: substitution 1, gap 0.9, a gap at the start 0.8, a swap of neighbours 0.5, against the longer length.
     """
     if a == b:
-        return 1.0 if a else 0.0
+        return 100.0 if a else 0.0
     if not a or not b:
         return 0.0
     two: list[float] = []
@@ -110,12 +120,17 @@ def lig3(a: str, b: str) -> float:
         two, one = one, row
     longest = max(len(a), len(b))
     base = max(0.0, (longest - one[-1]) / longest * 100)
-    return min(100.0, base * 0.7 + _token_part(a.split(), b.split()) * 100 * 0.2 + _prefix_part(a, b) * 100 * 0.1) / 100
+    return min(100.0, base * 0.7 + _token_part(a.split(), b.split()) * 100 * 0.2 + _prefix_part(a, b) * 100 * 0.1)
+
+
+def lig3(a: str, b: str) -> float:
+    """lig3_percent from 0 to 1."""
+    return lig3_percent(a, b) / 100
 
 
 def lig3_score(a: str, b: str) -> int:
-    """lig3 as a whole percentage; what is a half but for the last bit counts down, as sums of percentages do."""
-    return math.floor(lig3(a, b) * 100 + 0.5 - 1e-9)
+    """lig3_percent as a whole percentage, halves up."""
+    return math.floor(lig3_percent(a, b) + 0.5)
 
 
 def _token_part(ours: list[str], theirs: list[str]) -> float:
@@ -390,6 +405,16 @@ def metaphone_score(a: str, b: str) -> int:
     return next((v for least, v in ((0.85, 60), (0.7, 45), (0.55, 30), (0.4, 15)) if like >= least), 0)
 
 
+def _part_likeness(t: str, u: str) -> float:
+    """Of two parts of names: 1 if equal, 0.8 for an initial of the other, else their Jaro-Winkler where it is above 0.8."""
+    if t == u:
+        return 1.0
+    if len(t) == 1 or len(u) == 1:
+        return 0.8 if t[0] == u[0] else 0.0
+    v = jaro_winkler(t, u)
+    return v if v > 0.8 else 0.0
+
+
 def name_score(a: str, b: str) -> float:
     """0.5 tokens + 0.3 sound + 0.2 Jaro-Winkler of two names in plain_name form; parts may stand in any order, initials count 0.8."""
     if not a or not b:
@@ -397,23 +422,17 @@ def name_score(a: str, b: str) -> float:
     if a == b:
         return 1.0
     x, y = a.split(), b.split()
-    used, hits = set(), 0.0
+    left, hits = dict(enumerate(y)), 0.0
     for t in x:
-        best, which = 0.0, -1
-        for k, u in enumerate(y):
-            if k in used:
-                continue
-            v = 1.0 if t == u else 0.8 if (len(t) == 1 or len(u) == 1) and t[0] == u[0] else jaro_winkler(t, u)
-            if (v == 1.0 or v == 0.8 or v > 0.8) and v > best:
-                best, which = v, k
-        if which >= 0:
-            used.add(which)
-            hits += best
+        # The best of the parts not yet taken, the first of equally good ones.
+        v, which = max(((_part_likeness(t, u), -k) for k, u in left.items()), default=(0.0, 0))
+        if v > 0:
+            del left[-which]
+            hits += v
     codes = [double_metaphone(u) for u in y if len(u) > 1]
     sound, spoken = 0.0, [t for t in x if len(t) > 1]
     for t in spoken:
-        p = double_metaphone(t)
-        best = max((_code_likeness(c, d) for q in codes for c in p for d in q if c and d), default=0.0)
+        best = max((jaro_winkler(c, d) for q in codes for c in double_metaphone(t) for d in q if c and d), default=0.0)
         sound += best if best >= 0.65 else 0.0
     phonetic = sound / max(len(spoken), len(codes)) if spoken and codes else 0.0
     return 0.5 * hits / max(len(x), len(y)) + 0.3 * phonetic + 0.2 * jaro_winkler(a, b)

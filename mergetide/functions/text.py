@@ -99,26 +99,28 @@ def plain_text(text: str) -> str:
 
 
 # Particles of surnames that stay in lower case.
-PARTICLES = ["von", "van", "der", "den", "de", "la", "le", "du", "da", "di", "del", "della", "dos", "das", "bin", "al", "el"]
+PARTICLES = ["van", "von", "de", "del", "della", "di", "da", "le", "la"]
 
 
 def proper_name(text: str) -> str:
-    """Upper case at the start of words and after hyphens, apostrophes, Mc and Mac; particles after the first word in lower case."""
-    def part(w: str) -> str:
+    """Upper case at the start of words and after hyphens, apostrophes, Mc and Mac; words that are particles in lower case. Spaces stay as they are."""
+    def word(w: str) -> str:
         low = w.lower()
-        if low.startswith("mc") and len(low) > 2:
-            return "Mc" + low[2].upper() + low[3:]
-        if low.startswith("mac") and len(low) > 3:
-            return "Mac" + low[3].upper() + low[4:]
-        return low[:1].upper() + low[1:]
+        if "-" in w:
+            return "-".join(word(p) for p in w.split("-"))
+        if "'" in w:
+            return "'".join(p[:1].upper() + p[1:] for p in low.split("'"))
+        for start, more in (("mc", 2), ("mac", 3)):
+            if low.startswith(start) and len(low) > more:
+                return start.capitalize() + low[more:].capitalize()
+        return low if low in PARTICLES else low.capitalize()
 
-    out = []
-    for i, w in enumerate(text.split()):
-        if i and w.lower() in PARTICLES:
-            out.append(w.lower())
-        else:
-            out.append("".join(x if x in "-'’" else part(x) for x in re.split(r"([-'’])", w)))
-    return " ".join(out)
+    return " ".join(word(w) for w in text.split(" "))
+
+
+def full_name(text: str) -> str:
+    """proper_name of a text with single spaces, none around it."""
+    return proper_name(" ".join(text.split()))
 
 
 def _over(kernel, doc: str):
@@ -140,6 +142,7 @@ ascii_form = _over(to_ascii, "Column of to_ascii; each different text of a batch
 name_form = _over(plain_name, "Column of plain_name.")
 text_form = _over(plain_text, "Column of plain_text.")
 proper_form = _over(proper_name, "Column of proper_name.")
+full_form = _over(full_name, "Column of full_name.")
 
 
 def ssn_form(c: Column) -> Column:

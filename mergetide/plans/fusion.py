@@ -270,13 +270,14 @@ RULES = [matching.Rule("name", "dice", 70, mandatory=True)]
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     a, i = _names(spark, d)
-    pairs = blocking.blocked_pairs(a, i, "account", "identity", ["name"])
-    return pairs.join(a.withColumnRenamed("name", "name_a").distinct(), "account").join(i.withColumnRenamed("name", "name_i").distinct(), "identity")
+    a = a.withColumn("name_a", F.col("name")).withColumn("name_a_codes", similarity.bigram_codes(F.col("name")))
+    i = i.withColumn("name_i", F.col("name")).withColumn("name_i_codes", similarity.bigram_codes(F.col("name")))
+    return blocking.blocked_pairs(a, i, "account", "identity", ["name"], (["name_a", "name_a_codes"], ["name_i", "name_i_codes"]))
 
 
 def match_dice(spark: SparkSession, d: str) -> DataFrame:
     """The pairs of uncorrelated accounts and identities whose names pass a mandatory Dice rule, with score and exactness."""
-    m = matching.evaluated(_pairs(spark, d), RULES, 75.0).where("passed")
+    m = matching.evaluated(matching.meeting_mandatory(_pairs(spark, d), RULES), RULES, 75.0).where("passed")
     return m.select("account", "identity", F.col("r0").alias("score"), "combined", "exact")
 
 
@@ -294,7 +295,8 @@ DICE_SQL = f"with {_NAMES_SQL}, {_DICE_SQL} select account, identity, score, sco
 
 def match_capped(spark: SparkSession, d: str) -> DataFrame:
     """Of those, the first two of each account in candidate order, none after an exact one."""
-    m = blocking.ranked(_pairs(spark, d), "account", ["pos", "identity"])
+    # The cap counts candidates that pass, so those that can't may go before they are put in order.
+    m = blocking.ranked(matching.meeting_mandatory(_pairs(spark, d), RULES), "account", ["pos", "identity"])
     return matching.first_candidates(matching.evaluated(m, RULES, 75.0), "account", "cand_ord", 2, stop_at_exact=True).select("account", "identity", "combined")
 
 
@@ -309,8 +311,7 @@ select account, identity, score::double as combined from st where o <= 2 and (st
 def match_blended(spark: SparkSession, d: str) -> DataFrame:
     """All similarity rules together, over the pairs that a Dice rule lets through."""
     rules = [matching.Rule("name", "dice", 60, mandatory=True), matching.Rule("name", "jaro-winkler", 85), matching.Rule("name", "lig3", 70), matching.Rule("name", "name-matcher", 80), matching.Rule("name", "double-metaphone", 60)]
-    first = matching.scored(_pairs(spark, d), rules[:1]).where("m0").drop("r0", "m0")
-    m = matching.evaluated(first, rules, 80.0).where("passed")
+    m = matching.evaluated(matching.meeting_mandatory(_pairs(spark, d), rules), rules, 80.0).where("passed")
     return matching.best_candidates(m, "account", "combined", "identity", 3).select("account", "identity", "combined", "place", *[f"r{k}" for k in range(5)])
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mergetide.operators.hierarchy import feed_hierarchy
+from mergetide.operators.hierarchy import below, feed_hierarchy
 from mergetide.sources import read_table
 
 
@@ -12,6 +13,13 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return feed_hierarchy(read_table(spark, folder, "identity_feed", "record_id", "source_id", "id", "managerId", "modified", "loaded_at"))
 
 
+def p2_below(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows are below each row of a chain that ends, with the least and greatest id among them: from the pairs that the intervals give."""
+    rows = feed_hierarchy(read_table(spark, folder, "identity_feed", "record_id", "source_id", "id", "managerId", "modified", "loaded_at"), intervals=True)
+    pairs = below(rows, "source_id", "id")
+    return pairs.groupBy("source_id", "id").agg(F.count("*").alias("n"), F.min("descendant").alias("least"), F.max("descendant").alias("greatest"))
+
+
 P2_SQL = r"""
 with recursive
 spelled as (
@@ -44,5 +52,11 @@ from nodes n left join down d on n.source_id = d.source_id and n.node = d.node l
 left join looped l on n.source_id = l.source_id and n.node = l.node
 """
 
-QUERIES = {"p2_found": p2_found}
-ORACLES = {"p2_found": P2_SQL}
+BELOW_SQL = P2_SQL[: P2_SQL.index("under as (")] + """
+pairs as (select u.source_id, u.above as node, u.node as other from up u join down d on d.source_id = u.source_id and d.node = u.node)
+select p.source_id, a.id, count(*) as n, min(b.id) as least, max(b.id) as greatest
+from pairs p join nodes a on a.source_id = p.source_id and a.node = p.node join nodes b on b.source_id = p.source_id and b.node = p.other group by 1, 2
+"""
+
+QUERIES = {"p2_found": p2_found, "p2_below": p2_below}
+ORACLES = {"p2_found": P2_SQL, "p2_below": BELOW_SQL}

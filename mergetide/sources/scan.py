@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,14 +15,20 @@ class FilterError(ValueError):
     pass
 
 
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`")
+_NOT_OF_A_ROW = re.compile(r"\bselect\b|\bover\s*\(", re.IGNORECASE)
+
+
 def checked_filter(df: DataFrame, predicate: str | None) -> DataFrame:
-    """df where a SQL predicate over its columns holds; what isn't one fails here, before any row is read. None and blank keep all rows."""
+    """df where a SQL predicate over its columns holds; what isn't one fails here, before any row is read. None and blank keep all rows.
+
+    A predicate is about one row, so subqueries and windows are refused, outside of quoted texts and names; aggregates fail in the analysis.
+    """
     if not predicate or not predicate.strip():
         return df
-    out = df.where(predicate)
-    if any(w in predicate.lower() for w in (" over ", "limit ", "select ")):
+    if _NOT_OF_A_ROW.search(_QUOTED.sub("''", predicate)):
         raise FilterError("a filter is about one row")
-    return out
+    return df.where(predicate)
 
 
 def scan_accounts(managed: DataFrame, sources: DataFrame, filters: dict[str, str] | None = None, machines: bool = False) -> DataFrame:
@@ -53,5 +61,34 @@ def scan_identities(identities: DataFrame, predicate: str | None = None, protect
     return checked_filter(identities if protected else identities.where("not coalesce(protected, false)"), predicate)
 
 
+def checked_sources(config: DataFrame, sources: DataFrame) -> DataFrame:
+    """The configured sources (column name, and any options) with what is known of them (id, name, ...), by exact name; fails if one is unknown."""
+    known = sources.select(*[F.col(c) for c in sources.columns if c == "name" or c not in config.columns])
+    lost = config.join(known.select("name"), "name", "left_anti").select("name").orderBy("name").head(5)
+    if lost:
+        raise FilterError("no such source: " + ", ".join(str(r["name"]) for r in lost))
+    return config.join(F.broadcast(known), "name")
+
+
+def by_key(rows: DataFrame, key: str, *values: str) -> DataFrame:
+    """Point lookup: the rows whose key is one of the values; the predicate reaches the scan."""
+    return rows.where(F.col(key).isin(list(values)))
+
+
+def hydrated(rows: DataFrame, key: str, identities: DataFrame, keep: list[str]) -> DataFrame:
+    """rows with the fields ``keep`` of the identity that ``key`` names; null where there is none (best effort)."""
+    return rows.join(identities.select(F.col("id").alias(key), *keep).dropDuplicates([key]), key, "left")
+
+
+def due(sources: DataFrame, runs: DataFrame, source: str, run: str, at: str) -> DataFrame:
+    """(source, latest, due): whether a source is to be read again: its run ended later than the engine's own latest run, or either never ran.
+
+    ``sources``: source and at (the sources' own runs, any number); ``runs``: run and at of the engine by source.
+    """
+    own = sources.groupBy(source).agg(F.max(at).alias("latest"))
+    mine = runs.groupBy(F.col(run).alias(source)).agg(F.max(at).alias("done"))
+    return own.join(mine, source, "left").select(source, "latest", F.coalesce(F.col("done") <= F.col("latest"), F.lit(True)).alias("due"))
+
+
 def latest_by_source(rows: DataFrame, source: str, at: str) -> DataFrame:
     return rows.groupBy(source).agg(F.max(at).alias("latest"))
