@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from mergetide.llm.people import COMPARED, NAME_ONLY, VALUES, evidence, feed_people, identity_people, near_keys, reading, shared_keys, vocabulary
 from mergetide.llm.survivorship import correlated
-from mergetide.session import cut
+from mergetide.session import cut, ship
 from mergetide.session import told as count
 from mergetide.sources import read_table
 
@@ -158,6 +158,7 @@ def _digits(c: str, n: int) -> Column:
 
 def link_feed(feed: DataFrame, identities: DataFrame, managed: DataFrame) -> DataFrame:
     """(record_id, identity_id, confidence) of the uncorrelated rows of identity_feed."""
+    ship(feed.sparkSession)
     use = feed.select("record_id", "source_id", "id", "firstName", "lastName", "fullName", "email", "birthDate", "phone", "ssn")
     known_names = vocabulary(feed.select("firstName"), feed.select("lastName"))
     people = feed_people(correlated(use, managed), known_names).withColumn("reading", reading())

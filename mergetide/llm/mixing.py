@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,7 +66,7 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, source: str, size: s
 
     ``documents`` has ``size`` in tokens. ``targets``: source, target_share, max_repeats; its rows are few and are read to the driver, as are the
     sources' totals. ``total``: the tokens of the mix; by default the most at which every source that has documents reaches its share. Shares
-    of sources without documents are spread over the others in proportion. A source whose budget exceeds what it may give, as can
+    of sources without documents, or with no repeats, are spread over the others in proportion. A source whose budget exceeds what it may give, as can
     happen with a given ``total``, gives all of it; the report shows the share it reaches.
 
     A source is taken whole as often as its budget holds; for the rest, documents are counted by exact length, numbers are fitted to the rest of
@@ -80,11 +82,12 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, source: str, size: s
     parts = docs.groupBy("source", "tokens", "b").agg(F.count("*").alias("n"))
     lengths = parts.groupBy("source", "tokens").agg(F.sum("n").alias("n"))
     have = {r["source"]: r["t"] for r in lengths.groupBy("source").agg(F.sum(F.col("tokens") * F.col("n")).alias("t")).collect()}
-    weight = sum(share[s][0] for s in have) or 1.0
     usable = {s: t for s, t in have.items() if share[s][0] > 0 and share[s][1] > 0}
-    if total is None:
-        total = min((int(t * share[s][1] / (share[s][0] / weight)) for s, t in usable.items()), default=0)
-    budget = {s: min(int(total * share[s][0] / weight), t * share[s][1]) for s, t in usable.items()}
+    # Exact fractions: rounded down twice, the source that limits the mix would lose a whole copy.
+    exact = {s: Fraction(share[s][0]).limit_denominator(10**9) for s in usable}
+    weight = sum(exact.values(), Fraction(0)) or Fraction(1)
+    whole = min((t * share[s][1] * weight / exact[s] for s, t in usable.items()), default=Fraction(0)) if total is None else Fraction(total)
+    budget = {s: min(int(whole * exact[s] / weight), t * share[s][1]) for s, t in usable.items()}
     plan = {s: (b // have[s], b % have[s]) for s, b in budget.items()}
 
     def per_source(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -107,8 +110,9 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, source: str, size: s
     given = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("times")).alias("mixed_tokens"), F.count("*").alias("documents"), F.max("times").alias("most_times"))
     rows = spark.createDataFrame([(s, w, r, have.get(s, 0)) for s, (w, r) in share.items()], "source string, target_share double, max_repeats int, available_tokens long")
     report = rows.join(given, "source", "left").na.fill(0, ["mixed_tokens", "documents", "most_times"])
-    sums = given.agg(F.sum("mixed_tokens").alias("t")).collect()[0]["t"] or 0
-    report = report.withColumn("actual_share", F.when(F.lit(sums) > 0, F.col("mixed_tokens") / F.lit(max(sums, 1))).otherwise(F.lit(0.0)))
+    # One row for each target, so one task may sum them; and nothing is computed until the report is read.
+    sums = F.sum("mixed_tokens").over(Window.partitionBy())
+    report = report.withColumn("actual_share", F.when(sums > 0, F.col("mixed_tokens") / sums).otherwise(F.lit(0.0)))
     return chosen, report
 
 

@@ -14,7 +14,12 @@ from mergetide.sources import read_table
 
 #: Edits allowed in general, and in names of LONG letters or more.
 EDITS, EDITS_LONG, LONG = 2, 3, 9
-K = EDITS_LONG
+
+
+def _edits(n: str) -> str:
+    """SQL of the edits allowed to a reference text of n letters."""
+    return f"if({n} >= {LONG}, {EDITS_LONG}, {EDITS})"
+
 
 # States and provinces, and the spellings in use for each besides its code.
 STATES = {
@@ -99,14 +104,16 @@ def map_places(rows: DataFrame, places: DataFrame, key: str = "record_id") -> Da
     typed = q(_typed_sql(False, "{todo}") + " group by city, state, country", todo=todo)
     entries = q("select place_id, key, st, ct, length(key) as n from (" + _typed_sql(False, "{places}").replace("select city", "select place_id, city") + ") where key <> ''", places=places)
     texts = q("select key, length(key) as n from {typed} where key <> '' group by key", typed=typed)
-    # Segment i of a reference text of n letters: from i * n / (K + 1) on, to where the next begins.
-    parts = q(f"select key as entry, n, i, substring(key, 1 + div(i * n, {K + 1}), div((i + 1) * n, {K + 1}) - div(i * n, {K + 1})) as seg from (select distinct key, n from {{entries}}) lateral view explode(sequence(0, {K})) as i", entries=entries)
+    # A reference text of n letters and k edits has k + 1 segments; segment i goes from i * n / (k + 1) on to where the next begins.
+    cutting = lambda n, i: f"div({i} * {n}, k + 1)"
+    parts = q(f"select key as entry, n, i, substring(key, 1 + {cutting('n', 'i')}, {cutting('n', '(i + 1)')} - {cutting('n', 'i')}) as seg from (select distinct key, n, {_edits('n')} as k from {{entries}}) lateral view explode(sequence(0, k)) as i", entries=entries)
     shifts = q(f"""
       select distinct key, m, i, substring(key, at, len) as seg from (
-        select key, n, m, i, div(i * m, {K + 1}) + 1 + d as at, div((i + 1) * m, {K + 1}) - div(i * m, {K + 1}) as len
-        from {{texts}} lateral view explode(sequence(greatest(1, n - {K}), n + {K})) as m lateral view explode(sequence(0, {K})) as i lateral view explode(sequence(-{K}, {K})) as d)
+        select key, n, m, i, {cutting('m', 'i')} + 1 + d as at, {cutting('m', '(i + 1)')} - {cutting('m', 'i')} as len
+        from (select key, n, m, {_edits('m')} as k from {{texts}} lateral view explode(sequence(greatest(1, n - {EDITS_LONG}), n + {EDITS_LONG})) as m)
+        lateral view explode(sequence(0, k)) as i lateral view explode(sequence(-k, k)) as d where abs(n - m) <= k)
       where len = 0 or (at >= 1 and at + len - 1 <= n)""", texts=texts)
-    near = q(f"select key, entry, levenshtein(key, entry) as dist from (select distinct s.key, p.entry from {{shifts}} s join {{parts}} p on s.seg = p.seg and s.i = p.i and s.m = p.n) where levenshtein(key, entry) <= if(length(entry) >= {LONG}, {EDITS_LONG}, {EDITS})", shifts=shifts, parts=parts)
+    near = q(f"select key, entry, levenshtein(key, entry) as dist from (select distinct s.key, p.entry from {{shifts}} s join {{parts}} p on s.seg = p.seg and s.i = p.i and s.m = p.n) where levenshtein(key, entry) <= {_edits('length(entry)')}", shifts=shifts, parts=parts)
     found = q("""
       select city, state, country, min_by(place_id, dist) as place_id from (
         select *, min(dist) over (partition by city, state, country) as least from (

@@ -16,7 +16,7 @@ from mergetide.llm.linkage import score
 from mergetide.llm.people import COMPARED, NAME_ONLY, VALUES, agreeing_dates, evidence, feed_people, near_keys, packed_dates, read_people, reading, shared_keys, vocabulary
 from mergetide.llm.survivorship import correlated
 from mergetide.operators.components import components
-from mergetide.session import BROADCAST_ROWS, cut, told
+from mergetide.session import BROADCAST_ROWS, cut, drop, ship, told
 from mergetide.sources import read_table
 
 #: A key of a name alone makes all its pairs if at most so many different readings share it. Beyond that its pairs are found in other ways (near dates
@@ -68,13 +68,15 @@ def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     more = people.where("size(near) > 0").join(hot, "reading", "left_semi").select("reading", packed_dates().alias("born"), F.explode(near_keys()).alias("x")).select("x.k", "reading", "born", F.lit(None).cast("int").alias("births"))
     said = people.groupBy("reading").agg(F.first(F.struct(*COMPARED)).alias("a"))
     x = use.where(~name_only | (F.col("df") <= COMMON)).select("k", "reading", "born", F.when(name_only, F.col("births")).alias("births")).unionByName(more)
-    # Both sides have the same columns, so that one shuffle serves both.
-    y = x.select("k", F.col("reading").alias("other"), F.col("born").alias("other_born"), F.col("births").alias("other_births"))
+    # Written, as it is joined with itself.
+    x = cut(x)
+    y = x.select("k", F.col("reading").alias("other"), F.col("born").alias("other_born"))
     # Two with dates of birth that aren't near are two people, whatever else agrees.
-    pairs = x.join(y, "k").where((F.col("reading") < F.col("other")) & agreeing_dates("born", "other_born")).select("reading", "other", F.least("births", "other_births").alias("births"))
+    pairs = x.join(y, "k").where((F.col("reading") < F.col("other")) & agreeing_dates("born", "other_born")).select("reading", "other", "births")
     # Keys of rare names that make no pairs by themselves still say how few bear the name.
     stars = cut(alike(use, people))
     few = cut(use.where(F.col("t").isin("N", "I") & (F.col("df") > COMMON) & (F.col("births") <= RARE_BIRTHS)).groupBy("reading").agg(F.collect_list(F.struct("k", "births")).alias("few")))
+    drop(use)
     if told(few) <= BROADCAST_ROWS:
         few = F.broadcast(few)
     met = pairs.repartition("reading").groupBy("reading", "other").agg(F.min("births").cast("int").alias("borne"))
@@ -109,6 +111,7 @@ def name_variants(feed: DataFrame, identities: DataFrame, managed: DataFrame) ->
     Records are the uncorrelated rows of ``feed`` (record_id; fullName, or firstName and lastName if it is null) and ``identities`` (id; displayName of the
     attributes). Correlated rows help to see who is who but are in no pair. Records without a name are in no pair; a repeated key is one record.
     """
+    ship(feed.sparkSession)
     use = correlated(feed.select("record_id", "source_id", "id", "firstName", "lastName", "fullName", "email", "birthDate"), managed)
     words = vocabulary(feed.select("firstName"), feed.select("lastName"))
     name = F.coalesce("fullName", F.concat_ws(" ", "firstName", "lastName"))

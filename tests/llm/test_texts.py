@@ -134,3 +134,12 @@ def test_reading_levels(spark):
     assert set(got) - set(range(120)) == {903} and got[903] == 2
     assert reading.reading_levels(docs.limit(0), grades).collect() == []
     assert reading.reading_levels(docs, grades.limit(0)).collect() == []
+
+
+def test_limiting_source_gives_all_its_copies(spark):
+    docs = spark.createDataFrame([(k, "a", 97) for k in range(4)] + [(100 + k, "b", 50) for k in range(2000)] + [(9000, "c", 70)], "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.03, 6), ("b", 0.95, 9), ("c", 0.02, 0)], "source string, target_share double, max_repeats int")
+    chosen, rep = mixing.mix(docs, targets, "doc_id", "source", "tokens")
+    assert {r.times for r in chosen.where("source = 'a'").collect()} == {6}
+    got = {r.source: r for r in rep.collect()}
+    assert got["a"].mixed_tokens == 2328 and got["c"].mixed_tokens == 0 and abs(got["a"].actual_share - 0.03 / 0.98) < 1e-3
