@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mergetide.functions.keys import account_key
-from mergetide.operators import reviews, routing
+from mergetide.operators import report, reviews, routing
 from mergetide.operators.routing import Toggles
 from mergetide.sources import read_table
 
@@ -173,11 +173,63 @@ def correlations_set(spark: SparkSession, d: str) -> DataFrame:
 
 CORRELATIONS_SQL = f"with a as ({ASSIGNMENTS_SQL}) select a.account as key, a.identity_id from a join managed_accounts m on trim(m.source_id) || '::' || trim(m.native_identity) = a.account where m.identity_id is distinct from a.identity_id"
 
+
+def _reported(spark: SparkSession, d: str) -> DataFrame:
+    """Accounts as report rows: key, status and categories."""
+    acc = _outcomes(spark, d).select("id", "identity_id", "outcome", "exact", "matched")
+    seen = review_pending(spark, d).where("by = 'account'").select(F.col("who").alias("key"), F.lit(True).alias("pending"))
+    m = read_table(spark, d, "managed_accounts", "id", "source_id", "native_identity").select("id", account_key(F.col("source_id"), F.col("native_identity")).alias("key"))
+    made = reviews.decisions(instances(spark, d)).where("finished").select(F.col("account").alias("key"), F.lit(True).alias("decided")).distinct()
+    df = acc.join(m, "id").join(seen, "key", "left").join(made, "key", "left")
+    status = report.account_status(F.col("matched") > 0, F.col("outcome") == "defer", F.lit(False), F.col("exact").isNotNull())
+    df = df.withColumn("status", status).withColumn("statuses", F.when(F.col("outcome") == "linked", F.array(F.lit("baseline"))).otherwise(F.array().cast("array<string>")))
+    return df.select("id", "status", report.row_categories(F.col("statuses"), F.col("identity_id"), F.col("status"), F.col("exact") > 0, F.col("pending"), F.col("decided"), F.col("outcome") == "emit").alias("categories"))
+
+
+def report_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a report without those that are only listed, in groups and in order."""
+    out = report.emitted(_reported(spark, d), "id", "categories", [c for c in report.CATEGORIES if c != "existing-fusion"])
+    return out.select("id", "group", "place", "status", F.array_join("categories", "|").alias("categories"))
+
+
+_REPORTED = f"""
+{_INSTANCES}, {_ROUTED_SQL},
+q as (select r.id, r.identity_id, r.outcome, case when outcome = 'defer' then 'deferred' when coalesce(b.matched, 0) > 0 then 'matched' when b.accountId is not null then 'non-matched' else 'not-analyzed' end as status, coalesce(b.exact, 0) > 0 as exact,
+  exists (select 1 from inst i where i.state = 'ASSIGNED' and i.account = trim(r.source_id) || '::' || trim(r.native_identity)) as pending, exists (select 1 from dec x where x.finished and x.account = trim(r.source_id) || '::' || trim(r.native_identity)) as decided from r left join b on b.accountId = r.id),
+c as (select id, status, [x for x in [case when outcome = 'linked' then 'baseline' end, case when outcome <> 'linked' and trim(identity_id) <> '' then 'identity-linked' end, case when status = 'non-matched' then 'nonMatched' end,
+  case when status = 'matched' then 'matched' end, case when status = 'matched' and exact then 'exact' end, case when status = 'deferred' then 'deferred' end, case when pending then 'review' end, case when decided then 'decisions' end, case when outcome = 'emit' then 'existing-fusion' end] if x is not null] as cats from q)
+"""
+REPORT_ROWS_SQL = f"""
+with {_REPORTED}, g as (select id, status, cats, [x for x in cats if x <> 'existing-fusion'][1] as grp from c)
+select id, grp as "group", row_number() over (order by list_position(['baseline', 'identity-linked', 'nonMatched', 'matched', 'exact', 'deferred', 'review', 'decisions'], grp), id) as place, status, array_to_string(cats, '|') as categories from g where grp is not null
+"""
+
+
+def report_options(spark: SparkSession, d: str) -> DataFrame:
+    return report.option_counts(_reported(spark, d), "categories", "status")
+
+
+OPTIONS_SQL = f"with {_REPORTED} select " + ", ".join(f"count(*) filter (where list_contains(cats, '{c}')) as n_{c}" for c in ("nonMatched", "matched", "exact", "deferred", "review", "decisions")) + ", count(*) filter (where status = 'review-error') as n_review_error from c"
+
+
+def decisions_counted(spark: SparkSession, d: str) -> DataFrame:
+    return report.decision_counts(reviews.decisions(instances(spark, d)))
+
+
+COUNTED_SQL = f"""
+with {_INSTANCES}, x as (select *, coalesce(source_type, 'authoritative') as t from dec where finished)
+select count(*) filter (where t = 'authoritative') as authoritative, count(*) filter (where t = 'record') as record, count(*) filter (where t = 'orphan') as orphan, count(*) filter (where t = 'authoritative' and is_new) as new_identities,
+  count(*) filter (where t <> 'authoritative' and is_new) as no_matches, count(*) filter (where source_name = 'system') as automatic from x
+"""
+
+
 QUERIES = {
     "review_states": review_states, "review_decisions": review_decisions, "review_assignments": review_assignments, "review_pending": review_pending, "review_queue": review_queue, "review_requests": review_requests,
-    "accounts_routed": accounts_routed, "accounts_disabled": accounts_disabled, "decisions_applied": decisions_applied, "decisions_conflicts": decisions_conflicts, "correlations_set": correlations_set,
+    "accounts_routed": accounts_routed, "accounts_disabled": accounts_disabled, "decisions_applied": decisions_applied, "decisions_conflicts": decisions_conflicts, "correlations_set": correlations_set, "report_rows": report_rows,
+    "report_options": report_options, "decisions_counted": decisions_counted,
 }
 ORACLES = {
     "review_states": STATES_SQL, "review_decisions": DECISIONS_SQL, "review_assignments": ASSIGNMENTS_SQL, "review_pending": PENDING_SQL, "review_queue": QUEUE_SQL, "review_requests": REQUESTS_SQL,
-    "accounts_routed": ROUTED_SQL, "accounts_disabled": DISABLED_SQL, "decisions_applied": APPLIED_SQL, "decisions_conflicts": DECISION_CONFLICTS_SQL, "correlations_set": CORRELATIONS_SQL,
+    "accounts_routed": ROUTED_SQL, "accounts_disabled": DISABLED_SQL, "decisions_applied": APPLIED_SQL, "decisions_conflicts": DECISION_CONFLICTS_SQL, "correlations_set": CORRELATIONS_SQL, "report_rows": REPORT_ROWS_SQL,
+    "report_options": OPTIONS_SQL, "decisions_counted": COUNTED_SQL,
 }

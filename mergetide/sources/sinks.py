@@ -39,3 +39,8 @@ def load_state(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 def counted(old: DataFrame, new: DataFrame, by: str, n: str) -> DataFrame:
     """The cumulative counts after a run."""
     return old.select(by, n).unionByName(new.select(by, n)).groupBy(by).agg(F.sum(n).alias(n))
+
+
+def reset_state(spark: SparkSession, folder: str, schema: str) -> str:
+    """Writes an empty version of the state, which readers see from then on."""
+    return save_state(spark.createDataFrame([], schema), folder)
