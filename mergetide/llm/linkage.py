@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from mergetide.llm.people import COMPARED, NAME_ONLY, VALUES, evidence, feed_people, identity_people, near_keys, reading, shared_keys, vocabulary
 from mergetide.llm.survivorship import correlated
-from mergetide.session import cut, ship
+from mergetide.session import BROADCAST_ROWS, cut, ship
 from mergetide.session import told as count
 from mergetide.sources import read_table
 
@@ -60,10 +60,10 @@ def candidates(records: DataFrame, known: DataFrame) -> DataFrame:
     hot = cut(known.select("identity_id", F.explode(named).alias("k")).distinct().groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > RARE).select("k"))
 
     def near(df: DataFrame, *ids: str) -> DataFrame:
-        few = df.where("size(near) > 0").select(*ids, "codes", "initials", "near", F.explode(named).alias("k")).join(hot, "k", "left_semi")
+        few = df.where("size(dates) > 0").select(*ids, "codes", "initials", "dates", F.explode(named).alias("k")).join(hot, "k", "left_semi")
         return keyed(few, near_keys(), *ids)
 
-    n = known.agg(F.greatest(F.count_distinct("identity_id"), F.lit(1)).alias("n")).first()["n"]
+    n = known.agg(F.greatest(F.approx_count_distinct("identity_id", 0.01), F.lit(1)).alias("n")).first()["n"]
     # All that follows by key needs one shuffle of either side.
     kn = keyed(known, shared_keys(), "alias", "identity_id").unionByName(near(known, "alias", "identity_id")).repartition("k").distinct()
     # How many known persons have a key: their number in its order, at its end. So the rows are sorted by key once, for this and for the join.
@@ -99,38 +99,38 @@ def raised(sure: DataFrame, scored: DataFrame, records: DataFrame, known: DataFr
     stays, and there are finitely many, so this ends; each round only goes through what the round before changed.
     """
     tied = lambda df, *ids: df.select(*ids, F.explode(F.filter(F.array(*[F.when(F.col(t).isNotNull(), F.xxhash64(F.lit(t), t)) for t in ties]), lambda x: x.isNotNull())).alias("tie"))
-    mine = tied(records.join(sure.select("key", "identity_id", "score"), "key", "left").withColumn("conf", sureness(F.col("score"))), "key", "identity_id", "conf")
-    mine = cut(mine.distinct())
-    fixed = tied(known.withColumn("conf", F.lit(1.0)), "identity_id", "conf")
+    mine = records.select("key", *ties).join(sure.select("key", "identity_id", "score"), "key", "left").withColumn("conf", sureness(F.col("score")))
+    mine = cut(tied(mine, "key", "identity_id", "conf"))
     both = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("conf").alias("conf")]
-    said = mine.where("identity_id is not null").select("tie", "identity_id", "conf").unionByName(fixed.select("tie", "identity_id", "conf"))
-    open_ = cut(mine.where("identity_id is null").select("key", "tie"))
+    said = mine.where("identity_id is not null").select("tie", "identity_id", "conf").unionByName(tied(known.withColumn("conf", F.lit(1.0)), "identity_id", "conf").select("tie", "identity_id", "conf"))
+    open_ = mine.where("identity_id is null").select("key", "tie").distinct()
     told = said.select("tie", F.col("identity_id").alias("lo"), F.col("identity_id").alias("hi"), "conf").groupBy("tie").agg(*both)
     told = cut(told.join(open_.select("tie").distinct(), "tie", "left_semi"))
-    left = cut(records.join(open_.select("key").distinct(), "key", "left_semi").select("key", F.struct(*COMPARED).alias("a")).groupBy("key").agg(F.first("a").alias("a")))
-    own = cut(scored.join(left.select("key"), "key", "left_semi").groupBy("key", "identity_id").agg(F.max("score").alias("score")))
-    about = known.select("identity_id", F.struct(*COMPARED).alias("b"))
     out, fresh, e = sure, told, evidence()
     while True:
         heard = open_.join(fresh.where("lo = hi").select("tie", F.col("lo").alias("identity_id"), "conf"), "tie").groupBy("key", "identity_id").agg(F.max("conf").alias("conf"))
-        heard = heard.join(out.select("key"), "key", "left_anti")
-        met = heard.join(left, "key").join(about.join(heard.select("identity_id").distinct(), "identity_id", "left_semi"), "identity_id")
-        apart = met.groupBy("key", "identity_id", "conf").agg(*[F.max(e[n]).alias(n) for n in ("surname", "given", "born", "number")])
+        heard = cut(heard.join(out.select("key"), "key", "left_anti"))
+        if not count(heard):
+            return out
+        # Few hear anything, and then their values are found where they are.
+        few = F.broadcast(heard) if count(heard) <= BROADCAST_ROWS else heard
+        ours = records.select("key", F.struct(*COMPARED).alias("a")).join(few.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("a").alias("a"))
+        theirs = known.select("identity_id", F.struct(*COMPARED).alias("b")).join(few, "identity_id")
+        apart = theirs.join(ours, "key").groupBy("key", "identity_id", "conf").agg(*[F.max(e[n]).alias(n) for n in ("surname", "given", "born", "number")])
         # Nothing that a neighbour says outweighs a plain contradiction in every alias of the identity.
         fits = apart.where("coalesce(given, 1) > 0 and (surname > 0 or coalesce(born, 0) > 0) and coalesce(number, 1) > 0 and coalesce(born, 1) > 0")
         part = lambda n: reduce(lambda w, kv: w.when(F.col(n) == kv[0], kv[1]), SCORE[n].items(), F.when(F.col(n).isNull(), 0.0)).otherwise(0.0)
-        scores = fits.withColumn("base", part("surname") + part("given") + part("born") + part("number")).join(own.withColumnRenamed("score", "edge"), ["key", "identity_id"], "left")
-        gain = scores.select("key", "identity_id", (F.greatest("base", F.coalesce("edge", F.lit(0.0))) + NEIGHBOUR * F.col("conf")).alias("score"))
-        gain = cut(gain)
-        rest = own.join(gain.select("key").distinct(), "key", "left_semi").select("key", "identity_id", "score")
-        new = cut(best_of(gain.unionByName(rest)))
+        fits = cut(fits.select("key", "identity_id", (part("surname") + part("given") + part("born") + part("number")).alias("base"), (NEIGHBOUR * F.col("conf")).alias("gain")))
+        gains = F.broadcast(fits) if count(fits) <= BROADCAST_ROWS else fits
+        own = scored.join(gains.select("key").distinct(), "key", "left_semi").join(gains.drop("base"), ["key", "identity_id"], "left")
+        own = own.select("key", "identity_id", (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"))
+        new = cut(best_of(own.unionByName(fits.select("key", "identity_id", (F.col("base") + F.col("gain")).alias("score")))))
         if not count(new):
             return out
-        out = cut(out.unionByName(new), *([out] if out is not sure else []))
+        out = out.unionByName(new)
         more = open_.join(new.withColumn("conf", sureness(F.col("score"))), "key").select("tie", F.col("identity_id").alias("lo"), F.col("identity_id").alias("hi"), "conf")
-        touched = more.select("tie").distinct()
-        told = cut(told.unionByName(more).groupBy("tie").agg(*both), told)
-        fresh = told.join(touched, "tie", "left_semi")
+        told = cut(told.withColumn("new", F.lit(False)).unionByName(more.withColumn("new", F.lit(True))).groupBy("tie").agg(*both, F.max("new").alias("new")), told)
+        fresh = told.where("new")
 
 
 def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
@@ -143,7 +143,7 @@ def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
     records = records.where("key is not null").select("key", "reading", *VALUES, *ties)
     known = known.withColumn("alias", F.xxhash64("identity_id", "reading"))
     edges = cut(candidates(records, known))
-    b = known.join(edges.select("alias").distinct(), "alias", "left_semi").select("alias", F.struct(*COMPARED).alias("b")).groupBy("alias").agg(F.first("b").alias("b"))
+    b = known.select("alias", F.struct(*COMPARED).alias("b")).groupBy("alias").agg(F.first("b").alias("b"))
     a = records.select("key", "reading", F.struct(*COMPARED).alias("a"))
     scored = edges.join(a, "reading").join(b, "alias").withColumn("score", score(evidence(), F.coalesce("borne", F.lit(RARE + 1)))).select("key", "identity_id", "score").where("score > 0")
     scored = cut(scored)
@@ -160,7 +160,7 @@ def link_feed(feed: DataFrame, identities: DataFrame, managed: DataFrame) -> Dat
     """(record_id, identity_id, confidence) of the uncorrelated rows of identity_feed."""
     ship(feed.sparkSession)
     use = feed.select("record_id", "source_id", "id", "firstName", "lastName", "fullName", "email", "birthDate", "phone", "ssn")
-    known_names = vocabulary(feed.select("firstName"), feed.select("lastName"))
+    known_names = vocabulary(feed)
     people = feed_people(correlated(use, managed), known_names).withColumn("reading", reading())
     household = F.concat(_digits("phone", 10), F.lit("|"), F.get("initials", F.lit(0)).cast("string"))
     # A mailbox of the person's name without a number may be anyone's of that name, and a phone anyone's of a household.

@@ -10,11 +10,12 @@ from functools import lru_cache
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from mergetide.llm.survivorship import FILLERS
+from mergetide.session import cut, drop, told
 
 # Common short and variant forms of given names, each line a name and the forms used for it.
 GIVEN = """
@@ -192,15 +193,6 @@ def read_dates(text: str | None) -> list[str]:
     return sorted(set(out) - FILLER_DATES)
 
 
-def near_dates(dates: list[str]) -> list[str]:
-    """Keys that two dates share if they differ in one part: day, month, or a digit of the year; or have day and month swapped."""
-    out = set()
-    for x in dates:
-        y, m, d = x.split("-")
-        out |= {f"{y}-{m}", f"{y}--{d}", f"{m}-{d}:{y[:3]}", f"{m}-{d}:{y[3]}", f"{y}:{min(m, d)}:{max(m, d)}", f"{m}-{d}~{y}", f"{m}-{d}~{int(y) + 1}"}
-    return sorted(out)
-
-
 _FILLERS, _LETTER, _JOINTS = frozenset(FILLERS), re.compile("[a-z]"), str.maketrans("_-", "..")
 
 
@@ -257,7 +249,7 @@ def read_person(first: str | None, last: str | None, full: str | None, email: st
 
 _INTS = pa.list_(pa.int32())
 #: What is kept of a person for matching: texts that only have to be equal are kept as hashes.
-_PERSON = {"last": pa.string(), "first": pa.string(), "short": pa.bool_(), "num": pa.string(), "box": pa.string(), "forms": _INTS, "codes": _INTS, "heads": _INTS, "given": _INTS, "initials": _INTS, "dates": _INTS, "near": _INTS}
+_PERSON = {"last": pa.string(), "first": pa.string(), "short": pa.bool_(), "num": pa.string(), "box": pa.string(), "forms": _INTS, "codes": _INTS, "heads": _INTS, "given": _INTS, "initials": _INTS, "dates": _INTS}
 _SQL = {pa.string(): "string", pa.bool_(): "boolean", _INTS: "array<int>"}
 VALUES = list(_PERSON)
 
@@ -268,9 +260,9 @@ def _hash(text: str) -> int:
 
 
 @lru_cache(1 << 16)
-def _when(dates: tuple[str, ...]) -> tuple[list[int], list[int]]:
-    """The dates as numbers yyyymmdd, and the hashes of near_dates."""
-    return [int(d.replace("-", "")) for d in dates], [_hash(x) for x in near_dates(list(dates))]
+def _when(dates: tuple[str, ...]) -> list[int]:
+    """The dates as numbers yyyymmdd."""
+    return [int(d.replace("-", "")) for d in dates]
 
 
 @lru_cache(1 << 16)
@@ -286,7 +278,7 @@ def _heads(codes: tuple[str, ...]) -> list[int]:
 
 def _compact(p: dict) -> dict:
     p["heads"] = _heads(tuple(p["codes"]))
-    p["dates"], p["near"] = _when(tuple(p["dates"]))
+    p["dates"] = _when(tuple(p["dates"]))
     for k in ("forms", "codes", "given", "initials"):
         p[k] = _hashes(tuple(p[k]))
     return p
@@ -300,23 +292,22 @@ SHARE, LEAST_SEEN, FAR = 5e-4, 3, 5
 @F.arrow_udf(StringType())
 def _folded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for b in batches:
-        yield pa.array([fold(w) for w in b.to_pylist()], pa.string())
+        yield pa.array([w and fold(w) for w in b.to_pylist()], pa.string())
 
 
-def vocabulary(first: DataFrame, last: DataFrame) -> frozenset[str]:
+def vocabulary(rows: DataFrame, first: str = "firstName", last: str = "lastName") -> frozenset[str]:
     """The given names of a table: words that have a share of those typed as given name, are typed so far more often than as surname, and are no slip of a far
-    commoner one. The share bounds their number, so they can go along with a function.
-
-    ``first`` and ``last`` have one column of texts each; all rows are counted.
-    """
-    def count(df: DataFrame, name: str) -> DataFrame:
-        words = F.explode(F.regexp_extract_all(F.lower(F.col(df.columns[0])), F.lit(r"[\p{L}]{2,}"), F.lit(0)))
-        seen = df.select(words.alias("w")).groupBy("w").agg(F.count("*").alias(name))
-        return seen.select(_folded("w").alias("w"), name).groupBy("w").agg(F.sum(name).alias(name))
-
-    both = count(first, "n").withColumn("all", F.sum("n").over(Window.partitionBy())).where(F.col("n") >= F.greatest(F.lit(float(LEAST_SEEN)), F.col("all") * SHARE))
-    seen = {r["w"]: r["n"] for r in both.join(count(last, "m"), "w", "left").where("n > 4 * coalesce(m, 0)").collect()}
-    return frozenset(w for w, n in seen.items() if w in NAMES or len(w) < 4 or not any(seen.get(v, 0) >= FAR * n for v in one_slip(w)))
+    commoner one. The share bounds their number, so they can go along with a function. All rows are counted, in one pass."""
+    words = lambda c, n: F.transform(F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit(r"[\p{L}]{2,}"), F.lit(0)), lambda w: F.struct(w.alias("w"), F.lit(n).alias("n"), F.lit(1 - n).alias("m")))
+    seen = rows.select(F.explode(F.concat(words(first, 1), words(last, 0))).alias("x")).groupBy("x.w").agg(F.sum("x.n").alias("n"), F.sum("x.m").alias("m"))
+    # Plain words are their own folded form.
+    plain = F.col("w").rlike("^[a-z]+$") & ~F.col("w").rlike("aa|ae|oe|ue")
+    seen = seen.select(F.coalesce(F.when(plain, F.col("w")), _folded(F.when(~plain, F.col("w")))).alias("w"), "n", "m").groupBy("w").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    seen = cut(seen, all=F.sum("n"))
+    least = max(float(LEAST_SEEN), (told(seen, "all") or 0) * SHARE)
+    many = {r["w"]: (r["n"], r["m"]) for r in seen.where(F.col("n") >= least).collect()}
+    drop(seen)
+    return frozenset(w for w, (n, m) in many.items() if n > 4 * m and (w in NAMES or len(w) < 4 or not any(many.get(v, (0, 0))[0] >= FAR * n for v in one_slip(w))))
 
 
 def read_people(first: Column, last: Column, full: Column, email: Column, born: Column, known: frozenset[str] = frozenset()) -> Column:
@@ -357,8 +348,12 @@ def shared_keys() -> Column:
 
 
 def near_keys() -> Column:
-    """array<struct<t, k>>: kind C, what near dates of birth share, with the surname's code and the initial; for names that many bear."""
-    return F.expr("transform(flatten(flatten(transform(codes, x -> transform(initials, y -> transform(near, z -> xxhash64('C', x, y, z)))))), k -> named_struct('t', 'C', 'k', k))")
+    """array<struct<t, k>>: kind C, what near dates of birth share, with the surname's code and the initial; for names that many bear. Two dates share a part if
+    they differ in the day, the month, a digit of the year or a year, or have day and month swapped."""
+    y, m, d, md = "(x div 10000)", "((x div 100) % 100)", "(x % 100)", "(x % 10000)"
+    parts = f"array(xxhash64(1, {y}, {m}), xxhash64(2, {y}, {d}), xxhash64(3, {md}, {y} div 10), xxhash64(4, {md}, {y} % 10), xxhash64(5, {y}, least({m}, {d}), greatest({m}, {d})), xxhash64(6, {md}, {y}), xxhash64(6, {md}, {y} + 1))"
+    shared = f"array_distinct(flatten(transform(dates, x -> {parts})))"
+    return F.expr(f"transform(flatten(flatten(transform(codes, c -> transform(initials, i -> transform({shared}, z -> xxhash64('C', c, i, z)))))), k -> named_struct('t', 'C', 'k', k))")
 
 
 def reading() -> Column:
@@ -375,7 +370,7 @@ COMPARED = ["last", "first", "short", "num", "box", "forms", "codes", "given", "
 
 
 def near_sql(x: str, y: str) -> str:
-    """SQL of whether two dates yyyymmdd differ in one part as near_dates means it."""
+    """SQL of whether two dates yyyymmdd differ in one part as near_keys means it."""
     year = "({0} div 10000)".format
     other = f"{x} % 100 = ({y} div 100) % 100 and ({x} div 100) % 100 = {y} % 100"
     same_year = f"{year(x)} = {year(y)} and ({x} div 100 = {y} div 100 or {x} % 100 = {y} % 100 or ({other}))"

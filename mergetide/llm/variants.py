@@ -65,7 +65,7 @@ def cluster(people: DataFrame, sure: DataFrame) -> DataFrame:
     use = cut(ranked.where("df > 1").select("t", "k", "reading", "born", "df", "births"))
     name_only = F.col("t").isin(NAME_ONLY)
     hot = use.where((F.col("t") == "I") & (F.col("df") > COMMON)).select("reading").distinct()
-    more = people.where("size(near) > 0").join(hot, "reading", "left_semi").select("reading", packed_dates().alias("born"), F.explode(near_keys()).alias("x")).select("x.k", "reading", "born", F.lit(None).cast("int").alias("births"))
+    more = people.where("size(dates) > 0").join(hot, "reading", "left_semi").select("reading", packed_dates().alias("born"), F.explode(near_keys()).alias("x")).select("x.k", "reading", "born", F.lit(None).cast("int").alias("births"))
     said = people.groupBy("reading").agg(F.first(F.struct(*COMPARED)).alias("a"))
     x = use.where(~name_only | (F.col("df") <= COMMON)).select("k", "reading", "born", F.when(name_only, F.col("births")).alias("births")).unionByName(more)
     # Written, as it is joined with itself.
@@ -113,7 +113,7 @@ def name_variants(feed: DataFrame, identities: DataFrame, managed: DataFrame) ->
     """
     ship(feed.sparkSession)
     use = correlated(feed.select("record_id", "source_id", "id", "firstName", "lastName", "fullName", "email", "birthDate"), managed)
-    words = vocabulary(feed.select("firstName"), feed.select("lastName"))
+    words = vocabulary(feed)
     name = F.coalesce("fullName", F.concat_ws(" ", "firstName", "lastName"))
     rows = feed_people(use.withColumn("name", name), words).select(F.col("record_id").alias("key"), "name", "identity_id", F.xxhash64("source_id", "id", F.lit("account")).alias("account"), *VALUES)
     at = lambda n: F.try_element_at(F.col("attributes"), F.lit(n))

@@ -187,14 +187,13 @@ def test_read_person():
 
 
 def test_given_names_by_share(spark):
-    last = spark.createDataFrame([("Grenafgard",)], "lastName string")
-    typed = spark.range(20000).select(F.when(F.col("id") < 5, "Pamella").when(F.col("id") < 400, "Pamela").otherwise("Sanjay").alias("firstName"))
+    typed = spark.range(20000).select(F.when(F.col("id") < 5, "Pamella").when(F.col("id") < 400, "Pamela").otherwise("Sanjay").alias("firstName"), F.when(F.col("id") == 0, "Grenafgard").alias("lastName"))
     for _ in range(2):
-        known = people.vocabulary(typed, last)
+        known = people.vocabulary(typed)
         assert "pamella" not in known and {"pamela", "sanjay"} <= known and people.given_names("pamella", known) == ("pamela",)
         typed = typed.union(typed)
     names = ["".join("bdgkmprtvz"[int(d)] + "ao"[int(d) % 2] for d in f"{k * 7919 % 10007:05}") for k in range(1100)]
-    assert people.vocabulary(spark.createDataFrame([(w,) for w in names * 4], "firstName string"), last) == {people.fold(w) for w in names}
+    assert people.vocabulary(spark.createDataFrame([(w, None) for w in names * 4], "firstName string, lastName string")) == {people.fold(w) for w in names}
 
 
 def people_tables(spark):
