@@ -30,8 +30,10 @@ def overlap_owner(listed: DataFrame, rows: DataFrame, listed_owner: str, row: st
 
 
 def conflicts(listed: DataFrame, owner: str, keys: list[str]) -> DataFrame:
-    """Keys that several owners list: keys, owners (sorted), n."""
-    return listed.groupBy(*keys).agg(F.array_sort(F.collect_set(owner)).alias("owners")).where("size(owners) > 1").withColumn("n", F.size("owners"))
+    """(keys, owner, n): the keys that several owners list, a row for each owner, with their number. Rows, as one key may have any number of owners."""
+    pairs = listed.select(*keys, owner).where(F.col(owner).isNotNull()).distinct()
+    many = pairs.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return pairs.join(many, keys).select(*keys, owner, "n")
 
 
 def missing_by_source(rows: DataFrame, present: DataFrame, owner: str, source: str, native: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mergetide.session import cut
+from mergetide.session import cut, told
 
 
 def leaders(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str, order: str) -> DataFrame:
@@ -24,7 +24,7 @@ def leaders(nodes: DataFrame, edges: DataFrame, node: str, a: str, b: str, order
         open_ = e.join(done.select("v"), "v", "left_anti")
         seen = open_.join(done.select(F.col("v").alias("u"), "leads"), "u", "left").groupBy("v").agg(F.coalesce(F.max("leads"), F.lit(False)).alias("led"), F.count("*").alias("n"), F.count("leads").alias("k"))
         new = cut(seen.where("led or n = k").select("v", (~F.col("led")).alias("leads")))
-        if not new.limit(1).count():
+        if not told(new):
             break
         done = cut(done.unionByName(new), done, new)
     own = e.join(done.where("leads").select(F.col("v").alias("u")), "u").join(n.select(F.col("v").alias("u"), F.col("o").alias("ou")), "u")
@@ -45,8 +45,8 @@ def exclusive(matches: DataFrame, account: str, identity: str, account_order: st
         free = m if lost is None else m.join(lost, ["a", "i"], "left_anti")
         asks = free.groupBy("a", "ao").agg(F.min(F.struct("o", "i")).alias("t")).select("a", "ao", "t.i")
         wins = asks.groupBy("i").agg(F.min(F.struct("ao", "a")).alias("w")).select("i", F.col("w.a").alias("winner"))
-        asks = cut(asks.join(wins, "i"))
+        asks = cut(asks.join(wins, "i"), beaten=F.count_if(F.expr("a <> winner")))
         beaten = asks.where("a <> winner").select("a", "i")
-        if not beaten.limit(1).count():
+        if not told(asks, "beaten"):
             return asks.select(F.col("a").alias(account), F.col("i").alias(identity))
         lost = cut(beaten if lost is None else lost.unionByName(beaten))

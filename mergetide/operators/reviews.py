@@ -65,13 +65,19 @@ def last_assignments(made: DataFrame) -> DataFrame:
 
 
 def pending(instances: DataFrame, by: str) -> DataFrame:
-    """(by, urls, forms, others): the open instances by "reviewer", "candidate" or "account", as sorted sets; others: the candidates of an account, else its accounts."""
+    """(by, url, instance, other): the open instances by "reviewer", "candidate" or "account", each once; other: a candidate of an account, else an account.
+
+    Rows, not lists, as one reviewer may have a third of all instances; see pending_counts.
+    """
     rows = instances.where(open_(F.col("state")) & (F.size("recipients") > 0))
     spread = {"reviewer": F.explode("recipients"), "candidate": F.explode(candidate_ids(F.col("candidates"))), "account": F.col("account")}[by]
-    rows = rows.select(spread.alias(by), "url", "instance", F.col("account").alias("_a"), candidate_ids(F.col("candidates")).alias("_c")).where(F.col(by).isNotNull())
-    sets = [F.array_sort(F.collect_set("url")).alias("urls"), F.array_sort(F.collect_set("instance")).alias("forms")]
-    others = F.array_sort(F.array_distinct(F.flatten(F.collect_set("_c")))) if by == "account" else F.array_sort(F.collect_set("_a"))
-    return rows.groupBy(by).agg(*sets, others.alias("others"))
+    other = F.explode_outer(candidate_ids(F.col("candidates"))) if by == "account" else F.col("account")
+    return rows.withColumn("_by", spread).withColumn("other", other).select(F.col("_by").alias(by), "url", "instance", "other").where(F.col(by).isNotNull()).distinct()
+
+
+def pending_counts(rows: DataFrame, by: str) -> DataFrame:
+    """(by, urls, forms, others): how many different ones each has, of the rows of ``pending``."""
+    return rows.groupBy(by).agg(F.count_distinct("url").alias("urls"), F.count_distinct("instance").alias("forms"), F.count_distinct("other").alias("others"))
 
 
 def without_pending(queue: DataFrame, states: DataFrame, key: str) -> DataFrame:
@@ -89,10 +95,10 @@ def review_requests(matches: DataFrame, reviewers: DataFrame, instances: DataFra
 
 
 def reconciled(rows: DataFrame, by_candidate: DataFrame, by_reviewer: DataFrame, identity: str = "identity_id") -> DataFrame:
-    """rows (identity, statuses, reviews) as the open reviews have it: "candidate" and "activeReviews" are taken from the statuses and put back where they
-    hold, and reviews are the urls that wait for the row's identity."""
-    df = rows.join(by_candidate.select(F.col("candidate").alias(identity), F.lit(True).alias("_c")), identity, "left")
-    df = df.join(by_reviewer.select(F.col("reviewer").alias(identity), F.col("urls").alias("_r")), identity, "left")
+    """rows (identity, statuses, reviews) as the open reviews (rows of ``pending``) have it: "candidate" and "activeReviews" are taken from the statuses and put
+    back where they hold, and reviews are the urls that wait for the row's identity, as the output shows them."""
+    df = rows.join(by_candidate.select(F.col("candidate").alias(identity), F.lit(True).alias("_c")).distinct(), identity, "left")
+    df = df.join(by_reviewer.groupBy(F.col("reviewer").alias(identity)).agg(F.array_sort(F.collect_set("url")).alias("_r")), identity, "left")
     own = F.array_except(F.coalesce("statuses", F.array().cast("array<string>")), F.array(F.lit("candidate"), F.lit("activeReviews")))
     more = F.filter(F.array(F.when(F.col("_c"), "candidate"), F.when(F.size("_r") > 0, "activeReviews")), lambda x: x.isNotNull())
     return df.withColumn("statuses", F.concat(own, more)).withColumn("reviews", F.coalesce("_r", F.array().cast("array<string>"))).drop("_c", "_r")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mergetide.operators.claims import conflicts
+
 
 @dataclass(frozen=True)
 class Toggles:
@@ -78,6 +80,5 @@ def without_orphans(rows: DataFrame) -> DataFrame:
 
 
 def conflicting(made: DataFrame) -> DataFrame:
-    """(account, n, identities): the accounts that finished decisions give to several identities."""
-    per = made.where("finished and not is_new").groupBy("account").agg(F.array_sort(F.collect_set("identity_id")).alias("identities"))
-    return per.where(F.size("identities") > 1).select("account", F.size("identities").alias("n"), "identities")
+    """(account, identity_id, n): the accounts that finished decisions give to several identities, with each of these and their number."""
+    return conflicts(made.where("finished and not is_new"), "identity_id", ["account"])

@@ -284,15 +284,53 @@ def match_dice(spark: SparkSession, d: str) -> DataFrame:
 _DICE_SQL = """
 ga as (select account, substring(name, p.p::int, 2) as g, count(*) as n from acc, (select unnest(range(1, 400)) as p) p where p.p < length(name) group by 1, 2),
 gi as (select identity, substring(name, p.p::int, 2) as g, count(*) as n from idn, (select unnest(range(1, 400)) as p) p where p.p < length(name) group by 1, 2),
-shared as (select a.account, i.identity, sum(least(a.n, i.n)) as both from ga a join gi i on a.g = i.g group by 1, 2 having sum(least(a.n, i.n)) > 3),
+shared as (select a.account, i.identity, sum(least(a.n, i.n)) as both from ga a join gi i on a.g = i.g group by 1, 2),
 dice as (
   select p.account, p.identity, p.pos, case when a.name = i.name then 100 when length(a.name) < 2 or length(i.name) < 2 then 0
     else floor(coalesce(s.both, 0) * 2 / (length(a.name) + length(i.name) - 2) * 100 + 0.5)::int end as score
-  from pairs p join acc a using (account) join idn i using (identity) join shared s on s.account = p.account and s.identity = p.identity)
+  from pairs p join acc a using (account) join idn i using (identity) left join shared s on s.account = p.account and s.identity = p.identity)
 """
 DICE_SQL = f"with {_NAMES_SQL}, {_DICE_SQL} select account, identity, score, score::double as combined, score = 100 as exact from dice where score >= 75"
 
 
+def match_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Jaro-Winkler (in millionths) and lig3 of the pairs that pass the Dice rule."""
+    m = matching.meeting_mandatory(_pairs(spark, d), RULES)
+    jw = similarity.pairwise(similarity.jaro_winkler)
+    return m.select("account", "identity", F.floor(jw(F.col("name_a"), F.col("name_i")) * 1_000_000 + 0.5).alias("jaro"), matching.SCORERS["lig3"](F.col("name_a"), F.col("name_i")).alias("lig3"))
+
+
+SCORES_SQL = f"""
+with recursive {_NAMES_SQL}, {_DICE_SQL},
+t as (select d.account, d.identity, a.name as a, i.name as b, trim(strip_accents(a.name)) as x, trim(strip_accents(i.name)) as y from dice d join acc a on a.account = d.account join idn i on i.identity = d.identity where d.score >= 70),
+j as (
+  select account, identity, a, b, 1 as k, []::bigint[] as used, '' as ours, greatest(greatest(length(a), length(b)) // 2 - 1, 0) as reach from t
+  union all
+  select account, identity, a, b, k + 1, case when hit is null then used else list_append(used, hit) end, case when hit is null then ours else ours || a[k] end, reach
+  from (select *, list_filter(range(greatest(1, k - reach), least(length(b), k + reach) + 1), lambda q: b[q] = a[k] and not list_contains(used, q))[1] as hit from j where k <= length(a))),
+m as (select *, length(ours) as n, array_to_string(list_transform(list_sort(used), lambda q: b[q]), '') as theirs from j where k = length(a) + 1),
+jaro as (select account, identity, a, b, case when a = b then 1.0 when n = 0 then 0.0
+  else (n / length(a) + n / length(b) + (n - len(list_filter(range(1, n + 1), lambda q: ours[q] <> theirs[q])) / 2) / n) / 3 end as s from m),
+jw as (select account, identity, case when a = b or s < 0.7 then s else s + 0.1 * (1 - s) * coalesce(list_filter(range(1, 5), lambda q: coalesce(a[q] = '' or a[q] <> b[q], true))[1] - 1, 4) end as jw from jaro),
+cell as (
+  select account, identity, x, y, 0 as i, list_transform(range(0, length(y) + 1), lambda q: q * 0.8::double) as one, []::double[] as two, []::double[] as cur from t
+  union all
+  select account, identity, x, y, case when len(nxt) = length(y) + 1 then i + 1 else i end, case when len(nxt) = length(y) + 1 then nxt else one end, case when len(nxt) = length(y) + 1 then one else two end, case when len(nxt) = length(y) + 1 then []::double[] else nxt end
+  from (select *, case when len(cur) = 0 then [(i + 1) * 0.8::double] else list_append(cur, least(one[len(cur)] + case when x[i + 1] = y[len(cur)] then 0 else 1 end, cur[len(cur)] + 0.9, one[len(cur) + 1] + 0.9,
+    case when i > 0 and len(cur) > 1 and x[i + 1] = y[len(cur) - 1] and x[i] = y[len(cur)] then two[len(cur) - 1] + 0.5 else 1e9 end)::double) end as nxt from cell where i < length(x))),
+base as (select account, identity, x, y, greatest(0, (greatest(length(x), length(y)) - one[length(y) + 1]) / greatest(length(x), length(y)) * 100) as base from cell where i = length(x)),
+tok as (
+  select account, identity, string_split(x, ' ') as tx, string_split(y, ' ') as ty, 1 as k, []::bigint[] as used from t
+  union all
+  select account, identity, tx, ty, k + 1, case when hit is null then used else list_append(used, hit) end
+  from (select *, list_filter(range(1, len(ty) + 1), lambda q: not list_contains(used, q) and (ty[q] = tx[k] or (length(tx[k]) > 2 and starts_with(ty[q], tx[k][1:2]))))[1] as hit from tok where k <= len(tx))),
+bonus as (select account, identity, case when len(tx) = 1 and len(ty) = 1 then 0 else len(used) / greatest(len(tx), len(ty)) * 100 end as bonus from tok where k = len(tx) + 1)
+select jw.account, jw.identity, floor(jw * 1000000 + 0.5)::bigint as jaro,
+  case when x = y then 100 else floor(least(100, base * 0.7 + bonus * 0.2 + coalesce(list_filter(range(1, 6), lambda q: coalesce(x[q] = '' or x[q] <> y[q], true))[1] - 1, 5) / 5 * 100 * 0.1) + 0.5)::int end as lig3
+from jw join base using (account, identity) join bonus using (account, identity)
+"""
+
+
 def match_capped(spark: SparkSession, d: str) -> DataFrame:
     """Of those, the first two of each account in candidate order, none after an exact one."""
     # The cap counts candidates that pass, so those that can't may go before they are put in order.
@@ -370,29 +408,27 @@ select acc.key, case when acc.identity_id <> '' then 1 when l.owner is not null
 
 
 def claims_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    listed = claims.identity_keys(read_table(spark, d, "identities", "id", "accounts"), read_table(spark, d, "sources"))
-    own = read_table(spark, d, "managed_accounts", "source_id", "native_identity", "identity_id").where("identity_id is not null")
-    both = listed.unionByName(own.select("identity_id", "source_id", "native_identity")).distinct()
-    return claims.conflicts(both, "identity_id", ["source_id", "native_identity"]).select("source_id", "native_identity", "n", F.array_join("owners", "|").alias("owners"))
+    """Accounts that scorings of 95 or more give to several identities."""
+    c = read_table(spark, d, "candidates", "accountId", "sourceName", "identityId", "score").where("identityId is not null and score >= 95 and not isnan(score)")
+    return claims.conflicts(c, "identityId", ["sourceName", "accountId"])
 
 
-CONFLICTS_SQL = f"""
-with {_LISTED_SQL}, b as (select identity_id, source_id, native_identity from listed union select identity_id, source_id, native_identity from managed_accounts where identity_id is not null)
-select source_id, native_identity, count(*)::int as n, string_agg(identity_id, '|' order by identity_id) as owners from b group by 1, 2 having count(*) > 1
+CONFLICTS_SQL = """
+select * from (select *, count(*) over (partition by sourceName, accountId) as n from (select distinct sourceName, accountId, identityId from candidates where sourceName is not null and identityId is not null and score >= 95 and not isnan(score))) where n > 1
 """
 
 
 def claims_missing(spark: SparkSession, d: str) -> DataFrame:
-    """The listed accounts that the feed has no row of, by identity and source."""
+    """The listed accounts that are gone or disabled, by identity and source."""
     listed = claims.identity_keys(read_table(spark, d, "identities", "id", "accounts"), read_table(spark, d, "sources"))
-    there = read_table(spark, d, "identity_feed", "source_id", "id", "managerId").where("managerId is not null").withColumnRenamed("id", "native_identity")
+    there = read_table(spark, d, "managed_accounts", "source_id", "native_identity", "disabled").where("not coalesce(disabled, false)")
     return claims.missing_by_source(listed, there, "identity_id", "source_id", "native_identity")
 
 
 MISSING_SQL = f"""
 with {_LISTED_SQL}
 select identity_id, source_id, min(native_identity) as first_missing, count(distinct native_identity) as missing from listed l
-where not exists (select 1 from identity_feed f where f.source_id = l.source_id and f.id = l.native_identity and f.managerId is not null) group by 1, 2
+where not exists (select 1 from managed_accounts m where m.source_id = l.source_id and m.native_identity = l.native_identity and not coalesce(m.disabled, false)) group by 1, 2
 """
 
 
@@ -460,22 +496,52 @@ def exclusive_assignment(spark: SparkSession, d: str) -> DataFrame:
     return greedy.exclusive(per, "accountId", "identityId", "accountId", "o")
 
 
+LEADERS_SQL = r"""
+with recursive acc as (
+  select id, source_id, trim(regexp_replace(lower(name), '\s+', ' ', 'g')) as name from managed_accounts where identity_id is null and not coalesce(is_machine, false) and trim(regexp_replace(lower(name), '\s+', ' ', 'g')) <> ''),
+g as (select id, source_id, name, substring(name, p.p::int, 2) as g, count(*) as n from acc, (select unnest(range(1, 400)) as p) p where p.p < length(name) group by 1, 2, 3, 4),
+met as (select a.id, b.id as other, sum(least(a.n, b.n)) as n from g a join g b on a.source_id = b.source_id and a.g = b.g and b.id < a.id group by 1, 2),
+edges as (
+  select a.id, b.id as other from acc a join acc b on a.source_id = b.source_id and b.id < a.id left join met on met.id = a.id and met.other = b.id
+  where a.name = b.name or (length(a.name) > 1 and length(b.name) > 1 and floor(coalesce(met.n, 0) * 2 / (length(a.name) + length(b.name) - 2) * 100 + 0.5) >= 75)),
+near as (select id, list(other order by other) as earlier from edges group by 1),
+o as (select acc.id, source_id, coalesce(earlier, []) as earlier, row_number() over (partition by source_id order by acc.id) as n from acc left join near on near.id = acc.id),
+r as (
+  select source_id, n, id, id as leader, [id] as leaders from o where n = 1
+  union all
+  select source_id, n, id, coalesce(hit, id), case when hit is null then list_append(leaders, id) else leaders end
+  from (select o.source_id, o.n, o.id, r.leaders, list_filter(o.earlier, lambda x: list_contains(r.leaders, x))[1] as hit from r join o on o.source_id = r.source_id and o.n = r.n + 1))
+select id, leader from r
+"""
+EXCLUSIVE_SQL = """
+with recursive per as (select accountId, identityId, max(score) as s from candidates where identityId is not null and accountId is not null and score >= 90 and not isnan(score) group by 1, 2),
+l as (select accountId, list(identityId order by s desc, identityId) as c, row_number() over (order by accountId) as n from per group by 1),
+g as (
+  select 0::bigint as n, null::varchar as accountId, null::varchar as identityId, []::varchar[] as taken
+  union all
+  select n, accountId, hit, case when hit is null then taken else list_append(taken, hit) end
+  from (select l.n, l.accountId, g.taken, list_filter(l.c, lambda i: not list_contains(g.taken, i))[1] as hit from g join l on l.n = g.n + 1))
+select accountId, identityId from g where identityId is not null
+"""
+
 # Report
 
 
 def account_report(spark: SparkSession, d: str) -> DataFrame:
-    """Every account with its status, its best candidate and how many it has."""
+    """Every account with its status and how many candidates it has: deferred if only the third pass found any, failed if no scoring gave a score."""
     acc = read_table(spark, d, "managed_accounts", "id", "name", "source_id", "identity_id", "is_machine").where("not coalesce(is_machine, false)")
-    c = read_table(spark, d, "candidates", "accountId", "identityId", "score").where("identityId is not null and score is not null and not isnan(score)")
-    per = c.groupBy("accountId").agg(F.countDistinct("identityId").alias("n"), F.max("score").alias("best"))
+    c = read_table(spark, d, "candidates", "accountId", "identityId", "score", "pass_no")
+    valid = F.expr("identityId is not null and score is not null and not isnan(score)")
+    per = c.groupBy("accountId").agg(F.count_distinct(F.when(valid, F.col("identityId"))).alias("n"), F.max(F.when(valid, F.col("score"))).alias("best"), F.min(F.when(valid, F.col("pass_no"))).alias("first"))
     df = acc.join(per.withColumnRenamed("accountId", "id"), "id", "left")
-    status = report.account_status(F.col("best") >= 80, F.lit(False), F.lit(False), F.col("n").isNotNull())
+    status = report.account_status(F.col("best") >= 80, F.coalesce(F.col("first") == 3, F.lit(False)), F.coalesce(F.col("n") == 0, F.lit(False)), F.col("n").isNotNull())
     return df.select("id", F.when(F.col("identity_id").isNotNull(), "correlated").otherwise(status).alias("status"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 REPORT_SQL = """
-select a.id, case when a.identity_id is not null then 'correlated' when c.best >= 80 then 'matched' when c.n is not null then 'non-matched' else 'not-analyzed' end as status, coalesce(c.n, 0) as n
-from managed_accounts a left join (select accountId, count(distinct identityId) as n, max(score) as best from candidates where identityId is not null and score is not null and not isnan(score) group by 1) c on c.accountId = a.id
+select a.id, case when a.identity_id is not null then 'correlated' when c.first = 3 then 'deferred' when c.n = 0 then 'review-error' when c.best >= 80 then 'matched' when c.n is not null then 'non-matched' else 'not-analyzed' end as status, coalesce(c.n, 0) as n
+from managed_accounts a left join (select accountId, count(distinct identityId) filter (where ok) as n, max(score) filter (where ok) as best, min(pass_no) filter (where ok) as first
+  from (select *, identityId is not null and score is not null and not isnan(score) as ok from candidates) group by 1) c on c.accountId = a.id
 where not coalesce(a.is_machine, false)
 """
 
@@ -523,10 +589,10 @@ select accountId, count(*)::int as n, string_agg(identityId, '|' order by score
 from (select accountId, identityId, max(score) as score from candidates where identityId is not null and score >= 85 and not isnan(score) group by 1, 2) group by 1
 """
 
-QUERIES = {f.__name__: f for f in [accounts_scan, accounts_filtered, identities_scan, sources_latest, map_merge, bracket_tokens, history_capped, define_attributes, unique_logins, counter_seeds, numbered_logins, normal_forms, date_arithmetic, key_forms, blocked_counts, match_dice, match_capped, match_blended, candidates_blend, candidates_ranked, claims_first, claims_conflicts, claims_missing, overlap_reuse, deferred_leaders, exclusive_assignment, account_report, report_summary, report_categories, review_nested]}
+QUERIES = {f.__name__: f for f in [accounts_scan, accounts_filtered, identities_scan, sources_latest, map_merge, bracket_tokens, history_capped, define_attributes, unique_logins, counter_seeds, numbered_logins, normal_forms, date_arithmetic, key_forms, blocked_counts, match_dice, match_scores, match_capped, match_blended, candidates_blend, candidates_ranked, claims_first, claims_conflicts, claims_missing, overlap_reuse, deferred_leaders, exclusive_assignment, account_report, report_summary, report_categories, review_nested]}
 ORACLES = {
     "accounts_scan": SCAN_SQL, "accounts_filtered": FILTERED_SQL, "identities_scan": IDENTITIES_SQL, "sources_latest": LATEST_SQL, "map_merge": MAP_SQL, "bracket_tokens": TOKENS_SQL, "history_capped": HISTORY_SQL,
     "define_attributes": DEFINE_SQL, "unique_logins": UNIQUE_SQL, "counter_seeds": SEED_SQL, "numbered_logins": NUMBERED_SQL, "normal_forms": FORMS_SQL, "date_arithmetic": DATES_SQL, "key_forms": KEYS_SQL,
-    "blocked_counts": BLOCKED_SQL, "match_dice": DICE_SQL, "match_capped": CAPPED_SQL, "candidates_blend": BLEND_SQL, "candidates_ranked": RANKED_SQL, "claims_first": CLAIMS_SQL, "claims_conflicts": CONFLICTS_SQL,
+    "blocked_counts": BLOCKED_SQL, "match_dice": DICE_SQL, "match_scores": SCORES_SQL, "match_capped": CAPPED_SQL, "deferred_leaders": LEADERS_SQL, "exclusive_assignment": EXCLUSIVE_SQL, "candidates_blend": BLEND_SQL, "candidates_ranked": RANKED_SQL, "claims_first": CLAIMS_SQL, "claims_conflicts": CONFLICTS_SQL,
     "claims_missing": MISSING_SQL, "overlap_reuse": REUSE_SQL, "account_report": REPORT_SQL, "report_summary": SUMMARY_SQL, "report_categories": CATEGORIES_SQL, "review_nested": NESTED_SQL,
 }

@@ -69,15 +69,15 @@ ASSIGNMENTS_SQL = f"with {_INSTANCES} select chosen as identity_id, arg_max(inst
 def review_pending(spark: SparkSession, d: str) -> DataFrame:
     """The open reviews by reviewer, candidate and account: how many forms, and how many others they are about."""
     rows = instances(spark, d)
-    by = [reviews.pending(rows, b).select(F.lit(b).alias("by"), F.col(b).alias("who"), F.size("urls").alias("urls"), F.size("forms").alias("forms"), F.size("others").alias("others")) for b in ("reviewer", "candidate", "account")]
+    by = [reviews.pending_counts(reviews.pending(rows, b), b).select(F.lit(b).alias("by"), F.col(b).alias("who"), "urls", "forms", "others") for b in ("reviewer", "candidate", "account")]
     return by[0].unionByName(by[1]).unionByName(by[2])
 
 
 PENDING_SQL = f"""
 with {_INSTANCES}, o as (select * from inst where state = 'ASSIGNED')
-select 'reviewer' as by, source_name as who, count(distinct form)::int as urls, count(distinct instance)::int as forms, count(distinct account)::int as others from o where source_name is not null group by 2
-union all select 'candidate', identityId, count(distinct form)::int, count(distinct instance)::int, count(distinct account)::int from o group by 2
-union all select 'account', account, count(distinct form)::int, count(distinct instance)::int, count(distinct identityId)::int from o where account is not null group by 2
+select 'reviewer' as by, source_name as who, count(distinct form) as urls, count(distinct instance) as forms, count(distinct account) as others from o where source_name is not null group by 2
+union all select 'candidate', identityId, count(distinct form), count(distinct instance), count(distinct account) from o group by 2
+union all select 'account', account, count(distinct form), count(distinct instance), count(distinct identityId) from o where account is not null group by 2
 """
 
 
@@ -159,10 +159,10 @@ from dec d left join sources s on s.name = d.source_name left join identities i
 
 
 def decisions_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return routing.conflicting(reviews.decisions(instances(spark, d))).select("account", "n", F.array_join("identities", "|").alias("identities"))
+    return routing.conflicting(reviews.decisions(instances(spark, d)))
 
 
-DECISION_CONFLICTS_SQL = f"with {_INSTANCES} select account, count(distinct chosen)::int as n, string_agg(distinct chosen, '|' order by chosen) as identities from dec where finished and not is_new group by 1 having count(distinct chosen) > 1"
+DECISION_CONFLICTS_SQL = f"with {_INSTANCES}, x as (select distinct account, chosen from dec where finished and not is_new) select account, chosen as identity_id, n from (select *, count(*) over (partition by account) as n from x) where n > 1"
 
 
 def correlations_set(spark: SparkSession, d: str) -> DataFrame:

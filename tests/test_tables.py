@@ -85,15 +85,15 @@ def test_decisions(spark):
     rows = spark.createDataFrame([("row2", "i1"), ("row1", "i1")], "row_id string, identity_id string")
     src = spark.createDataFrame([("s", True)], "name string, disables boolean")
     assert {r.instance: (r.effect, r.row_id) for r in routing.applied(made, rows, src).collect()} == {"new": ("emit", None), "old": ("merge", "row1"), "odd": ("create", None)}
-    assert [(r.account, r.n) for r in routing.conflicting(made).collect()] == [("s::1", 2)]
+    assert {tuple(r) for r in routing.conflicting(made).collect()} == {("s::1", "i1", 2), ("s::1", "i3", 2)}
     assert reviews.decisions(df.limit(0)).count() == 0
 
 
 def test_pending_and_requests(spark):
     df = instances(spark, dict(instance="1", account="s::1", state="ASSIGNED", recipients=["r"], candidates=" a, b,,", url="u"), dict(instance="2", account="s::2", state="COMPLETED", recipients=["r"], candidates="a"), dict(instance="3", state="ASSIGNED", recipients=["r"], candidates=None, account="s::3"), dict(instance="4", state=None, recipients=["r"], account="s::4"))
-    assert {r.candidate: r.others for r in reviews.pending(df, "candidate").collect()} == {"a": ["s::1"], "b": ["s::1"]}
-    assert {r.reviewer: (r.urls, r.forms) for r in reviews.pending(df, "reviewer").collect()} == {"r": (["u"], ["1", "3"])}
-    assert {r.account: r.others for r in reviews.pending(df, "account").collect()} == {"s::1": ["a", "b"], "s::3": []}
+    assert {tuple(r) for r in reviews.pending(df, "candidate").collect()} == {("a", "u", "1", "s::1"), ("b", "u", "1", "s::1")}
+    assert {tuple(r) for r in reviews.pending(df, "reviewer").collect()} == {("r", "u", "1", "s::1"), ("r", None, "3", "s::3")}
+    assert {tuple(r) for r in reviews.pending_counts(reviews.pending(df, "account"), "account").collect()} == {("s::1", 1, 1, 2), ("s::3", 0, 1, 0)}
     m = spark.createDataFrame([("s::1", "x", "b"), ("s::9", "x", "b"), ("s::9", "x", "a")], "account string, source_id string, identity_id string")
     who = spark.createDataFrame([("x", "r"), ("x", "q"), ("x", None)], "source_id string, reviewer string")
     assert {tuple(r) for r in reviews.review_requests(m, who, df).collect()} == {("s::1", "q", "b"), ("s::9", "q", "a,b"), ("s::9", "r", "a,b")}
