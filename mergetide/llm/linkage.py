@@ -25,7 +25,7 @@ from mergetide.sources import read_table
 
 #: A key of a name alone makes its pairs if at most so many known persons bear it. That loses none: such a pair is accepted by the name alone only where at
 #: most three bear it, else it needs a date of birth, a mailbox or its number, and then it also shares a key that joins the name with that. So this only
-#: saves work.
+#: saves work, from PLAIN on.
 RARE = 24
 #: A name that so many bear adds nothing to the weight of an edge, and one that fewer bear by how much fewer.
 PLAIN = 24
@@ -145,7 +145,7 @@ def link(records: DataFrame, known: DataFrame, ties: list[str]) -> DataFrame:
     edges = cut(candidates(records, known))
     b = known.select("alias", F.struct(*COMPARED).alias("b")).groupBy("alias").agg(F.first("b").alias("b"))
     a = records.select("key", "reading", F.struct(*COMPARED).alias("a"))
-    scored = edges.join(a, "reading").join(b, "alias").withColumn("score", score(evidence(), F.coalesce("borne", F.lit(RARE + 1)))).select("key", "identity_id", "score").where("score > 0")
+    scored = edges.join(a, "reading").join(b, "alias").withColumn("score", score(evidence(), F.coalesce("borne", F.lit(PLAIN + 1)))).select("key", "identity_id", "score").where("score > 0")
     scored = cut(scored)
     sure = cut(best_of(scored))
     return raised(sure, scored, records, known, ties).select("key", "identity_id", sureness(F.col("score")).alias("confidence"))
