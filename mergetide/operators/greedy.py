@@ -37,16 +37,16 @@ def exclusive(matches: DataFrame, account: str, identity: str, account_order: st
     """(account, identity): going through the accounts by ``account_order``, each gets its first identity by ``order`` that no earlier one got.
 
     Rounds of proposals: every account asks for its first identity that no earlier account holds; the earliest asker holds it, others ask
-    on. As identities prefer earlier accounts, this ends where going one by one does. Ties of ``order`` go to the smaller identity.
+    on. As identities prefer earlier accounts, this ends where going one by one does; and as a hold only ever goes to an earlier account, all that an
+    account has lost to earlier ones is left out at once. Ties of ``order`` go to the smaller identity.
     """
     m = cut(matches.select(F.col(account).alias("a"), F.col(identity).alias("i"), F.col(account_order).alias("ao"), F.col(order).alias("o")).distinct())
-    lost = None
+    held = None
     while True:
-        free = m if lost is None else m.join(lost, ["a", "i"], "left_anti")
+        free = m if held is None else m.join(held, "i", "left").where(F.coalesce(F.col("by") >= F.col("ao"), F.lit(True)))
         asks = free.groupBy("a", "ao").agg(F.min(F.struct("o", "i")).alias("t")).select("a", "ao", "t.i")
-        wins = asks.groupBy("i").agg(F.min(F.struct("ao", "a")).alias("w")).select("i", F.col("w.a").alias("winner"))
+        wins = asks.groupBy("i").agg(F.min(F.struct("ao", "a")).alias("w")).select("i", F.col("w.ao").alias("by"), F.col("w.a").alias("winner"))
         asks = cut(asks.join(wins, "i"), beaten=F.count_if(F.expr("a <> winner")))
-        beaten = asks.where("a <> winner").select("a", "i")
         if not told(asks, "beaten"):
             return asks.select(F.col("a").alias(account), F.col("i").alias(identity))
-        lost = cut(beaten if lost is None else lost.unionByName(beaten))
+        held = asks.where("a = winner").select("i", "by")
