@@ -61,6 +61,7 @@ def cut(df: DataFrame, *stale: DataFrame, **tally: Column) -> DataFrame:
     their files are removed. What is left goes when the driver ends. Joins of a table of more than BROADCAST_ROWS rows are merge joins.
     """
     spark = df.sparkSession
+    ship(spark)
     ensure_checkpoint_dir(spark)
     at = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     seen = Observation()
