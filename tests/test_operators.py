@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from mergetide.functions import bulk
 from mergetide.functions.similarity import dice, percent
 from mergetide.operators import blocking, claims, greedy, mapping, matching, unique
 from mergetide.operators.components import components
@@ -186,3 +187,24 @@ def test_filters_are_checked(spark):
     assert scan.checked_filter(df, "id > 1").count() == 1
     with pytest.raises(Exception):
         scan.checked_filter(df, "nothing > 1")
+
+
+ODD_NAMES = ["x", "xx", "aaaaaa", "aaaa", "ann", "anna b", "annab", "é", "😀 b", "😀 bc", "jonathan smith", "jonathan smyth", "smith jonathan", "a" * 300, "a" * 280, ""]
+
+
+def test_counts_of_meetings_make_no_pairs(spark, monkeypatch):
+    r = random.Random(5)
+    names = ODD_NAMES + ["".join(r.choice("ab é") for _ in range(r.randrange(1, 9))) for _ in range(60)]
+    a = spark.createDataFrame([(k, n) for k, n in enumerate([*names, *names[:9], None])] + [(None, "ann"), (0, "x")], "account int, name string")
+    i = spark.createDataFrame([(k, n) for k, n in enumerate([*names[::2], "ann", "ann", None])] + [(None, "ann")], "identity int, name string")
+    pairs = blocking.blocked_pairs(a, i, "account", "identity", ["name"]).groupBy("account").agg(F.count("*"), F.min("pos"), F.sum("pos"))
+    want = sorted(tuple(x) for x in pairs.collect())
+    monkeypatch.setattr(blocking, "blocked_pairs", None)
+    assert sorted(tuple(x) for x in blocking.counted_meetings(a, i, "account", "identity", "name").collect()) == want
+    monkeypatch.setattr(bulk, "ROWS", 3000)
+    texts = [n for n in names if n]
+    got = [x for p in bulk.trigram_meetings(texts, texts[::-1]) for x in zip(*map(list, p), strict=True)]
+    monkeypatch.undo()
+    assert sorted(got) == sorted(x for p in bulk.trigram_meetings(texts, texts[::-1]) for x in zip(*map(list, p), strict=True))
+    monkeypatch.setattr(blocking, "blocked_pairs", None)
+    assert fusion.blocked_counts(spark, "/root/testdata/sf0.001").count() > 0
