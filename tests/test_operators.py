@@ -208,3 +208,32 @@ def test_counts_of_meetings_make_no_pairs(spark, monkeypatch):
     assert sorted(got) == sorted(x for p in bulk.trigram_meetings(texts, texts[::-1]) for x in zip(*map(list, p), strict=True))
     monkeypatch.setattr(blocking, "blocked_pairs", None)
     assert fusion.blocked_counts(spark, "/root/testdata/sf0.001").count() > 0
+
+
+@pytest.mark.parametrize("threshold", [60, 75])
+def test_near_texts_against_every_pair(spark, monkeypatch, threshold):
+    r = random.Random(6)
+    names = ODD_NAMES + ["".join(r.choice("ab é") for _ in range(r.randrange(1, 9))) for _ in range(60)]
+    a = spark.createDataFrame([(k, n) for k, n in enumerate([*names, *names[:9], None])] + [(None, "ann"), (0, "x")], "account int, name string")
+    i = spark.createDataFrame([(k, n) for k, n in enumerate([*names[::2], "ann", "ann", None])] + [(None, "ann")], "identity int, name string")
+    pairs = blocking.blocked_pairs(a.withColumn("x", F.col("name")), i.withColumn("y", F.col("name")), "account", "identity", ["name"], (["x"], ["y"]))
+    want = sorted((p.account, p.identity, p.pos, percent(dice(p.x, p.y))) for p in pairs.collect() if percent(dice(p.x, p.y)) >= threshold)
+    monkeypatch.setattr(blocking, "BLOCK", 20)
+    got = blocking.with_owners(blocking.near_texts(a, i, "name", threshold), a, i, "account", "identity", "name").select("account", "identity", "pos", "name_dice")
+    assert sorted(tuple(x) for x in got.collect()) == want
+
+
+@pytest.mark.parametrize("name", ["match_dice", "match_scores", "match_capped", "match_blended"])
+def test_matches_make_no_blocked_pairs(spark, monkeypatch, name):
+    monkeypatch.setattr(blocking, "blocked_pairs", None)
+    assert fusion.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_near_within_blocks(spark):
+    from mergetide.session import cut
+
+    r = random.Random(7)
+    rows = [(f"{k:03}", r.choice(["s", "t", None]), "".join(r.choice("ab ") for _ in range(r.randrange(1, 9))).strip() or "b") for k in range(150)]
+    want = {(x, y) for x, g, n in rows for y, h, m in rows if y < x and g and g == h and percent(dice(n, m)) >= 75}
+    got = blocking.near_within(cut(spark.createDataFrame(rows, "id string, g string, name string")), "id", "g", "name", 75, block=20)
+    assert {(x.a, x.b) for x in got.collect()} == want
