@@ -290,3 +290,10 @@ def test_common_bound_changes_no_cluster(spark, monkeypatch, seed):
     want = groups_of(spark, rows)
     monkeypatch.setattr(variants, "COMMON", 4)
     assert groups_of(spark, rows) == want and len(want) > 1
+
+
+def test_agreements_are_computed_once(spark):
+    pairs = spark.createDataFrame([("1", "ab", "abc"), ("2", "ab", "ab")], "key string, a string, b string").repartition("key")
+    df = people.once(pairs, "e", {"edits": F.levenshtein("a", "b")}).where("e.edits > 0").select("key", (F.col("e.edits") * F.col("e.edits")).alias("n"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("levenshtein(") == 1
+    assert [tuple(r) for r in df.collect()] == [("1", 1)]
