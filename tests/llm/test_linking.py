@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mergetide.llm import addresses, linkage, people, places, survivorship, topn, variants
+from mergetide.operators.components import components
 
 T = datetime.datetime
 FEED = "record_id string, source_id string, id string, firstName string, lastName string, fullName string, email string, phone string, birthDate string, ssn string, address string, city string, state string, zipCode string, country string, department string, title string, managerId string, modified timestamp, loaded_at timestamp, name string, `key` string"
@@ -292,6 +293,26 @@ def test_common_bound_changes_no_cluster(spark, monkeypatch, seed):
     assert groups_of(spark, rows) == want and len(want) > 1
 
 
+def test_nothing_is_asked_within_an_account(spark, monkeypatch):
+    # Deliveries of one account are one person already: they make no edge, and still are variants of one another and of who is linked to any of them.
+    edges = []
+    monkeypatch.setattr(variants, "components", lambda e, a, b: edges.append(e.count()) or components(e, a, b))
+    rows = [dict(record_id=f"r{k}", source_id="s", id="1", firstName=n, lastName="Grenafgard", fullName=f"{n} Grenafgard", birthDate="1955-03-28") for k, n in enumerate(["Bob", "Robert", "Rob"])]
+    got = variants.name_variants(feed(spark, *rows), spark.createDataFrame([], IDS), spark.createDataFrame([], ACC)).collect()
+    assert sorted(tuple(r) for r in got) == [("r0", "r1"), ("r0", "r2"), ("r1", "r2")] and edges == [0]
+    rows.append(dict(record_id="r3", source_id="t", id="7", firstName="Bobby", lastName="Grenaphgard", fullName="Bobby Grenaphgard", birthDate="1955-03-28"))
+    got = variants.name_variants(feed(spark, *rows), spark.createDataFrame([], IDS), spark.createDataFrame([], ACC)).collect()
+    assert len(got) == 6 and edges[1] == 1
+
+
+def test_a_repeated_key_is_one_record(spark):
+    # Two rows of one key, of different accounts and persons by what they say: who is linked to either is linked to the key.
+    r = lambda key, account, name, born: dict(record_id=key, source_id="s", id=account, firstName=name, lastName="Kelonier", fullName=f"{name} Kelonier", birthDate=born)
+    rows = [r("a", "1", "Robert", "1955-03-28"), r("a", "2", "Ursula", "1971-01-22"), r("b", "3", "Bob", "1955-03-28"), r("c", "4", "Ursula", "22/01/1971")]
+    got = {tuple(x) for x in variants.name_variants(feed(spark, *rows), spark.createDataFrame([], IDS), spark.createDataFrame([], ACC)).collect()}
+    assert {("a", "b"), ("a", "c"), ("b", "c")} == got
+
+
 def test_agreements_are_computed_once(spark):
     pairs = spark.createDataFrame([("1", "ab", "abc"), ("2", "ab", "ab")], "key string, a string, b string").repartition("key")
     df = people.once(pairs, "e", {"edits": F.levenshtein("a", "b")}).where("e.edits > 0").select("key", (F.col("e.edits") * F.col("e.edits")).alias("n"))
